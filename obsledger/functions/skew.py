@@ -22,15 +22,27 @@ def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def hot_keys_each(df: DataFrame, key_lists: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> list[DataFrame]:
+    """For each list of key columns, hashes of the keys that hold at least about `hot_rows` rows.
+
+    One pass over `df` sketches all lists; each result has at most `HOT_KEYS` rows. Rows
+    with a null among the key columns are left out.
+    """
+    hashes = [
+        F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull(), _hash(keys)).alias(f"_h{i}")
+        for i, keys in enumerate(key_lists)
+    ]
+    tops = [
+        f"transform(approx_top_k(_h{i}, {HOT_KEYS}, {TRACKED_KEYS}), t -> struct({i} AS _list, t.item AS _hot_hash, t.count AS _n))"
+        for i in range(len(key_lists))
+    ]
+    top = df.select(*hashes).agg(F.expr(f"concat({', '.join(tops)})").alias("_top")).select(F.inline("_top"))
+    heavy = top.where((F.col("_n") >= hot_rows) & F.col("_hot_hash").isNotNull())
+    return [heavy.where(F.col("_list") == i).select("_hot_hash") for i in range(len(key_lists))]
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys that hold at least about `hot_rows` rows; at most `HOT_KEYS` of them."""
-    return (
-        df.select(_hash(keys).alias("_key_hash"))
-        .agg(F.expr(f"approx_top_k(_key_hash, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"))
-        .select(F.inline("_top"))
-        .where(F.col("count") >= hot_rows)
-        .select(F.col("item").alias("_hot_hash"))
-    )
+    return hot_keys_each(df, [keys], hot_rows)[0]
 
 
 def lookup_join(
@@ -41,6 +53,7 @@ def lookup_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     weight: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join `left` to `right`, which has at most one row per key, on the same-named `keys`.
 
@@ -50,7 +63,8 @@ def lookup_join(
     in one partition. Result columns: those of `left`, then the non-key ones of `right`.
 
     `weight` names a column of `right` that counts the key's rows in `left`; where it is
-    known, the hot keys come from it and `left` is not read a second time.
+    known, the hot keys come from it and `left` is not read a second time. `hot` hands in
+    the result of `hot_keys_each`, for joins that follow each other on the same rows.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -66,7 +80,7 @@ def lookup_join(
         tagged = left.join(F.broadcast(hot_side), keys, "left")
         is_hot = F.col("_hot").isNotNull()
     else:
-        hot = F.broadcast(hot_keys(left.dropna(subset=keys), keys, hot_rows))
+        hot = F.broadcast(hot_keys(left, keys, hot_rows) if hot is None else hot)
         on_hash = F.col("_hash") == F.col("_hot_hash")
         hot_side = right.withColumn("_hash", _hash(keys)).join(hot, on_hash).select(*keys, found.alias("_hot"))
         tagged = left.withColumn("_hash", _hash(keys)).join(hot, on_hash, "left").join(F.broadcast(hot_side), keys, "left")

@@ -1,7 +1,7 @@
 """Runnable queries over the ledger operators."""
 
-from obsledger.plans import canonical_queries
+from obsledger.plans import canonical_queries, graph_queries
 from obsledger.plans.canonical_queries import flagship
 from obsledger.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "canonical_queries", "flagship"]
+__all__ = ["ORACLES", "QUERIES", "canonical_queries", "flagship", "graph_queries"]
