@@ -1,7 +1,13 @@
 """Runnable queries over the ledger operators."""
 
-from obsledger.plans import canonical_queries, graph_queries
+from obsledger.plans import (  # noqa: F401
+    canonical_queries,
+    graph_queries,
+    item_queries,
+    metric_queries,
+    model_queries,
+)
 from obsledger.plans.canonical_queries import flagship
 from obsledger.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "canonical_queries", "flagship", "graph_queries"]
+__all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -317,7 +317,7 @@ BINDING = {
           CASE WHEN reason IS NULL THEN 'proj' || (l_partkey % 10) ELSE 'system_default' END AS project_id,
           CASE WHEN reason IS NULL THEN 'user' || (l_partkey % 13) ELSE 'system' END AS user_id,
           reason AS fallback_reason, observed_at, job_id, l_partkey, l_suppkey
-        FROM (SELECT *, CASE WHEN l_suppkey % 5 = 0 THEN 'BINDING_CONTEXT_MISSING' WHEN l_partkey % 13 = 0 THEN 'BINDING_CONTEXT_INVALID' END AS reason FROM v_obs)""",
+        FROM (SELECT *, CASE WHEN modality = 'US' THEN 'BINDING_CONTEXT_MISSING' WHEN l_partkey % 13 = 0 THEN 'BINDING_CONTEXT_INVALID' END AS reason FROM v_obs)""",
     "v_attempt": """SELECT binding_id, seq, (l_suppkey + seq) % 6 = 0 AS success,
           CASE WHEN (l_suppkey + seq) % 6 <> 0 THEN 'BindingFailed' || (seq % 2) END AS error_code,
           CASE WHEN (l_suppkey + seq) % 6 <> 0 AND seq % 3 <> 0 THEN 'try ' || seq END AS error_detail
@@ -330,7 +330,7 @@ BINDING = {
 
 
 def contexts(spark, sf):
-    return X.observations(spark, sf).where("l_suppkey % 5 <> 0").select(
+    return X.observations(spark, sf).where("modality <> 'US'").select(
         "observation_id",
         F.concat(F.lit("proj"), (F.col("l_partkey") % 10).cast("string")).alias("project_id"),
         F.when(F.col("l_partkey") % 13 != 0, F.concat(F.lit("user"), (F.col("l_partkey") % 13).cast("string"))).alias("user_id"),
@@ -342,13 +342,13 @@ def bindings(spark, sf):
 
 
 def binding_attempts(spark, sf):
+    tries = F.col("l_partkey") % 8
     return (
         X.observations(spark, sf)
-        .where("l_partkey % 8 > 0")
         .select(
             natural_key(F.lit("binding"), "observation_id").alias("binding_id"),
             "l_suppkey",
-            F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("l_partkey") % 8)).alias("seq"),
+            F.explode(F.when(tries > 0, F.sequence(F.lit(1).cast("bigint"), tries))).alias("seq"),
         )
         .withColumn("success", (F.col("l_suppkey") + F.col("seq")) % 6 == 0)
         .select(
