@@ -6,6 +6,7 @@ from obsledger.plans import (  # noqa: F401
     item_queries,
     metric_queries,
     model_queries,
+    rule_queries,
 )
 from obsledger.plans.canonical_queries import flagship
 from obsledger.plans.registry import ORACLES, QUERIES

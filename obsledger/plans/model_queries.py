@@ -212,10 +212,10 @@ def study_rollup(spark, sf):
 @query("study_completeness", """
 SELECT study_instance_uid, series_count, instance_count, CASE WHEN failures > 0 THEN 'partial' WHEN expected = instance_count THEN 'complete' ELSE 'unknown' END AS completeness
 FROM (SELECT study_instance_uid, count(DISTINCT series_instance_uid) AS series_count, count(*) AS instance_count FROM v_inst GROUP BY 1)
-LEFT JOIN (SELECT study_instance_uid, count(*) AS failures FROM v_obs WHERE l_suppkey % 50 = 0 GROUP BY 1) USING (study_instance_uid)
+LEFT JOIN (SELECT study_instance_uid, count(*) AS failures FROM v_obs WHERE modality = 'PT' AND NOT has_pixel_data GROUP BY 1) USING (study_instance_uid)
 LEFT JOIN (SELECT '1.2.826.0.' || c_custkey AS study_instance_uid, c_nationkey * 3 AS expected FROM customer) USING (study_instance_uid)""")
 def study_completeness(spark, sf):
-    failures = X.observations(spark, sf).where("l_suppkey % 50 = 0")
+    failures = X.observations(spark, sf).where("modality = 'PT' AND NOT has_pixel_data")
     manifests = X.table(spark, sf, "customer").select(
         F.concat(F.lit("1.2.826.0."), F.col("c_custkey").cast("string")).alias("study_instance_uid"),
         (F.col("c_nationkey") * 3).alias("expected_instances"),
