@@ -7,6 +7,7 @@ from obsledger.plans import (  # noqa: F401
     metric_queries,
     model_queries,
     rule_queries,
+    source_queries,
 )
 from obsledger.plans.canonical_queries import flagship
 from obsledger.plans.registry import ORACLES, QUERIES

@@ -42,10 +42,16 @@ MAKERS = [
 STAGES = ["scan", "parse", "storage", "metadata_persistence", "validation", "binding", "indexing"]
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
+    """A table as a stream of its files."""
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("pathGlobFilter", f"{name}*.parquet").parquet(sf_dir)
+
+
+def observations(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """One row per upload of an instance."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     uid = F.concat(F.lit("1.2.826."), F.col("l_orderkey").cast("string"))
     quantity = F.col("l_quantity").cast("int").cast("string")
     step = F.pmod("l_linenumber", F.lit(5))
@@ -319,7 +325,7 @@ SELECT job_id, 'actor' || (CAST(substr(job_id, 4) AS INTEGER) % 3) AS actor_id,
 FROM v_item GROUP BY job_id"""
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Stage events: who did what to which item, when, how long it took and how it ended."""
     status = (
         F.when(F.col("event_type") == "error", "failed")
@@ -327,7 +333,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "view", "pending")
         .otherwise("completed")
     )
-    return table(spark, sf_dir, "events").select(
+    rows = table(spark, sf_dir, "events") if rows is None else rows
+    return rows.select(
         "event_id", "ts", F.col("user_id").alias("job_id"), "event_type", F.col("value").alias("duration_ms"),
         F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
         pick(F.col("event_id") % 7, STAGES).alias("stage"),
