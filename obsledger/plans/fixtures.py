@@ -18,30 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(index: Column, choices: list) -> Column:
-    """The `index`-th choice, counted from 0."""
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (index + 1).cast("int"))
-
-
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)").cast("string")
-
-
-MODALITIES = ["CT", "MR", "DX", "US", "PT"]
-SOP_CLASSES = [
-    "1.2.840.10008.5.1.4.1.1.2",
-    "1.2.840.10008.5.1.4.1.1.4",
-    "1.2.840.10008.5.1.4.1.1.1.1",
-    "1.2.840.10008.5.1.4.1.1.6.1",
-    "1.2.840.10008.5.1.4.1.1.128",
-]
-MAKERS = [
-    "SIEMENS HEALTHINEERS", "GE Healthcare", "Philips Medical", "United Imaging", "联影",
-    "TOSHIBA", "Hitachi", "Agfa", "Carestream Health", "FUJI", "Acme Imaging / North",
-]
-STAGES = ["scan", "parse", "storage", "metadata_persistence", "validation", "binding", "indexing"]
-
-
 def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
     """A table as a stream of its files."""
     reader = spark.readStream.schema(table(spark, sf_dir, name).schema).option("maxFilesPerTrigger", files_per_batch)

@@ -8,7 +8,10 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution picks join strategies and splits skewed partitions at run time.
 # forceOptimizeSkewedJoin lets it do so even where that costs one more shuffle.
+# hugeMethodLimit is what the JVM still compiles; larger fused methods would be interpreted,
+# so those plans fall back to one method per expression.
 SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
