@@ -54,7 +54,7 @@ def all_findings(spark, sf):
 
 @query("studies_upsert", f"""
 SELECT study_instance_uid, patient_id, patient_name, study_date
-FROM (SELECT *, {RANKED.format(key="study_instance_uid")} AS rn FROM v_obs) WHERE rn = 1""")
+FROM (SELECT *, {RANKED.format(key="study_instance_uid")} AS rn FROM v_obs) WHERE rn = 1""", dates=["study_date"])
 def studies_upsert(spark, sf):
     stored, new = stored_and_new(spark, sf)
     return C.studies_upsert(new, C.studies_upsert(stored))
@@ -135,7 +135,7 @@ def canonical_validate(spark, sf):
 
 
 @query("canonical_current", """
-SELECT sop_instance_uid, observation_id, whole_file_sha256, pixel_digest, observed_at FROM v_flagged WHERE is_canonical""", FLAGGED)
+SELECT sop_instance_uid, observation_id, whole_file_sha256, pixel_digest, observed_at FROM v_flagged WHERE is_canonical""", FLAGGED, dates=["observed_at"])
 def canonical_current(spark, sf):
     obs = X.observations(spark, sf)
     return C.canonical_current(C.canonical_pointers(obs), obs).select(
@@ -144,7 +144,7 @@ def canonical_current(spark, sf):
 
 
 @query("observation_history", f"""
-SELECT sop_instance_uid, observation_id, observed_at, {RANKED.format(key="sop_instance_uid")} AS version_no FROM v_obs""")
+SELECT sop_instance_uid, observation_id, observed_at, {RANKED.format(key="sop_instance_uid")} AS version_no FROM v_obs""", dates=["observed_at"])
 def observation_history(spark, sf):
     return C.observation_history(X.observations(spark, sf)).select(
         "sop_instance_uid", "observation_id", "observed_at", "version_no"
@@ -220,13 +220,13 @@ FINDING_COLUMNS = "finding_id, observation_id, duplicate_type, basis, matched_ob
 
 
 @query("identity_duplicates", f"""
-SELECT {FINDING_COLUMNS} FROM v_finding WHERE duplicate_type = 'identity'""", FLAGGED)
+SELECT {FINDING_COLUMNS} FROM v_finding WHERE duplicate_type = 'identity'""", FLAGGED, dates=["observed_at"])
 def identity_duplicates(spark, sf):
     return D.identity_duplicates(X.observations(spark, sf))
 
 
 @query("content_duplicates_pixel", """
-SELECT md5(concat_ws('|', observation_id, duplicate_type, basis, matched_observation_id, '')) AS finding_id, * FROM v_pixel""", FLAGGED)
+SELECT md5(concat_ws('|', observation_id, duplicate_type, basis, matched_observation_id, '')) AS finding_id, * FROM v_pixel""", FLAGGED, dates=["observed_at"])
 def content_duplicates_pixel(spark, sf):
     return pixel_findings(spark, sf)
 
@@ -237,7 +237,7 @@ SELECT md5(concat_ws('|', CAST(item_id AS VARCHAR), 'content', 'whole_file_sha25
        CAST(NULL AS VARCHAR) AS matched_instance_uid, 'open' AS resolution_status, CAST(created_at AS DATE) AS observed_at, group_size
 FROM (SELECT *, first_value(item_id) OVER (PARTITION BY whole_file_sha256 ORDER BY CAST(created_at AS DATE), item_id) AS first_id,
              count(*) OVER (PARTITION BY whole_file_sha256) AS group_size FROM v_item)
-WHERE item_id <> first_id""")
+WHERE item_id <> first_id""", dates=["observed_at"])
 def content_duplicates_file(spark, sf):
     items = X.items(spark, sf).select(
         F.col("item_id").alias("observation_id"), F.col("created_at").cast("date").alias("observed_at"), "whole_file_sha256"
@@ -253,7 +253,7 @@ def content_groups(spark, sf):
     return D.content_groups(X.observations(spark, sf), "pixel_digest")
 
 
-@query("findings_upsert", f"SELECT {FINDING_COLUMNS} FROM v_finding", FLAGGED)
+@query("findings_upsert", f"SELECT {FINDING_COLUMNS} FROM v_finding", FLAGGED, dates=["observed_at"])
 def findings_upsert(spark, sf):
     stored, _ = stored_and_new(spark, sf)
     held = D.identity_duplicates(stored)
@@ -262,7 +262,7 @@ def findings_upsert(spark, sf):
 
 
 @query("findings_read", f"""
-SELECT {FINDING_COLUMNS} FROM v_finding WHERE observation_id IN (SELECT observation_id FROM v_obs WHERE modality = 'CT')""", FLAGGED)
+SELECT {FINDING_COLUMNS} FROM v_finding WHERE observation_id IN (SELECT observation_id FROM v_obs WHERE modality = 'CT')""", FLAGGED, dates=["observed_at"])
 def findings_read(spark, sf):
     wanted = X.observations(spark, sf).where("modality = 'CT'")
     return D.findings_read(all_findings(spark, sf), wanted)

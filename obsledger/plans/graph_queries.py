@@ -107,7 +107,7 @@ def edges_of_instance(spark, sf):
 
 @query("edges_unresolved", """
 SELECT from_sop, relationship, to_study, to_series, to_sop, frame_number, created_on FROM v_resolved WHERE status = 'unresolved'
-ORDER BY created_on, from_sop, relationship, to_study NULLS FIRST, to_series NULLS FIRST, to_sop NULLS FIRST, frame_number NULLS FIRST LIMIT 100""", GRAPH)
+ORDER BY created_on, from_sop, relationship, to_study NULLS FIRST, to_series NULLS FIRST, to_sop NULLS FIRST, frame_number NULLS FIRST LIMIT 100""", GRAPH, dates=["created_on"])
 def edges_unresolved(spark, sf):
     return R.edges_unresolved(resolved(spark, sf)).select(*R.EDGE, "created_on")
 
@@ -366,7 +366,7 @@ def bound(spark, sf):
 
 @query("binding_create", f"""
 SELECT binding_id, observation_id, sop_instance_uid, project_id, user_id, fallback_reason, 'pending' AS binding_status,
-       CAST(0 AS BIGINT) AS retry_count, observed_at FROM v_binding WHERE job_id > {LAST_STORED_JOB}""", BINDING)
+       CAST(0 AS BIGINT) AS retry_count, observed_at FROM v_binding WHERE job_id > {LAST_STORED_JOB}""", BINDING, dates=["observed_at"])
 def binding_create(spark, sf):
     obs = X.observations(spark, sf)
     held = B.binding_create(obs.where(F.col("job_id") <= LAST_STORED_JOB), None, contexts(spark, sf))

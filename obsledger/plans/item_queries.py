@@ -265,7 +265,7 @@ def items_for_review(spark, sf):
 
 @query("findings_view", """
 SELECT finding_id, observation_id, matched_observation_id, observed_at FROM v_finding WHERE duplicate_type = 'content'
-ORDER BY observed_at DESC, finding_id LIMIT 100""", FLAGGED)
+ORDER BY observed_at DESC, finding_id LIMIT 100""", FLAGGED, dates=["observed_at"])
 def findings_view(spark, sf):
     newest = R.findings_view(pixel_findings(spark, sf), "content")
     return newest.select("finding_id", "observation_id", "matched_observation_id", "observed_at")

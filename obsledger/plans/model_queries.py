@@ -104,7 +104,7 @@ def held_model(spark, sf):
     )
 
 
-@query("projection_build", "SELECT * FROM v_projection", MODEL)
+@query("projection_build", "SELECT * FROM v_projection", MODEL, dates=["study_date"])
 def projection_build(spark, sf):
     return projections(spark, sf)
 
@@ -136,7 +136,7 @@ def filters():
 
 
 @query("projection_query", f"""
-SELECT instance_id, sop_instance_uid, study_date FROM v_projection WHERE {FILTERED} ORDER BY instance_id LIMIT 100 OFFSET 100""", MODEL)
+SELECT instance_id, sop_instance_uid, study_date FROM v_projection WHERE {FILTERED} ORDER BY instance_id LIMIT 100 OFFSET 100""", MODEL, dates=["study_date"])
 def projection_query(spark, sf):
     page = P.projection_query(projections(spark, sf), page=2, **filters())
     return page.select("instance_id", "sop_instance_uid", "study_date")
@@ -226,7 +226,7 @@ def study_completeness(spark, sf):
 @query("series_browse", """
 SELECT series_instance_uid, count(*) AS file_count, min(observed_at) AS earliest_file, max(observed_at) AS latest_file FROM v_obs
 WHERE modality = 'CT' AND observed_at >= DATE '1997-01-01' AND lower(patient_name) LIKE '%customer^1%'
-GROUP BY 1 ORDER BY latest_file DESC, series_instance_uid LIMIT 100""")
+GROUP BY 1 ORDER BY latest_file DESC, series_instance_uid LIMIT 100""", dates=["earliest_file", "latest_file"])
 def series_browse(spark, sf):
     return P.series_browse(X.observations(spark, sf), modality="CT", date_from="1997-01-01", patient_name="customer^1")
 
@@ -296,7 +296,7 @@ def schema_compat(spark, sf):
     return compat(spark, sf)
 
 
-@query("stale_by_version", "SELECT * FROM v_marked", SCHEMA)
+@query("stale_by_version", "SELECT * FROM v_marked", SCHEMA, dates=["updated_at"])
 def stale_by_version(spark, sf):
     return marked(spark, sf)
 
@@ -308,7 +308,7 @@ def stale_counters(spark, sf):
 
 @query("reparse_queue", """
 SELECT series_instance_uid, modality, updated_at, extracted_schema_version FROM v_marked WHERE needs_reparse
-ORDER BY CASE WHEN modality IN ('CT', 'MR') THEN 1 ELSE 2 END, updated_at, series_instance_uid LIMIT 100""", SCHEMA)
+ORDER BY CASE WHEN modality IN ('CT', 'MR') THEN 1 ELSE 2 END, updated_at, series_instance_uid LIMIT 100""", SCHEMA, dates=["updated_at"])
 def reparse_queue(spark, sf):
     return E.reparse_queue(marked(spark, sf)).select("series_instance_uid", "modality", "updated_at", "extracted_schema_version")
 
