@@ -47,9 +47,12 @@ def pixel_findings(spark, sf):
     return D.content_duplicates(X.observations(spark, sf), "pixel_digest")
 
 
+def findings_of(obs):
+    return D.identity_duplicates(obs).unionByName(D.content_duplicates(obs, "pixel_digest").drop("group_size"))
+
+
 def all_findings(spark, sf):
-    identity = D.identity_duplicates(X.observations(spark, sf))
-    return identity.unionByName(pixel_findings(spark, sf).drop("group_size"))
+    return findings_of(X.observations(spark, sf))
 
 
 @query("studies_upsert", f"""

@@ -42,6 +42,12 @@ MAKERS = [
 STAGES = ["scan", "parse", "storage", "metadata_persistence", "validation", "binding", "indexing"]
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table that lies in fewer files than there are cores, dealt out over the cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
     """A table as a stream of its files."""
     reader = spark.readStream.schema(table(spark, sf_dir, name).schema).option("maxFilesPerTrigger", files_per_batch)
@@ -408,9 +414,10 @@ SELECT 'job' || (l_orderkey % 7) AS job_id,
 FROM v_stored"""
 
 
-def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def instances(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     """Known instances with their series and study, no attributes."""
-    return observations(spark, sf_dir).select(
+    obs = observations(spark, sf_dir) if obs is None else obs
+    return obs.select(
         "sop_instance_uid", "series_instance_uid", "study_instance_uid", "l_orderkey", "l_linenumber"
     ).distinct()
 
@@ -419,11 +426,11 @@ INSTANCES_SQL = """
 SELECT DISTINCT sop_instance_uid, series_instance_uid, study_instance_uid, l_orderkey, l_linenumber FROM v_obs"""
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     """References from instances to other instances, series and studies."""
     nxt = (F.col("l_orderkey") + 1).cast("string")
     line = F.col("l_linenumber")
-    return instances(spark, sf_dir).select(
+    return instances(spark, sf_dir, obs).select(
         F.col("sop_instance_uid").alias("from_sop"),
         pick(line % 7, V.RELATIONSHIPS).alias("relationship"),
         F.when((line % 3 != 1) | (line % 2 == 0), F.concat(F.lit("1.2.826.0."), (F.col("l_orderkey") * 7 % 2000).cast("string"))).alias("to_study"),

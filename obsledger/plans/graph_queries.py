@@ -70,8 +70,8 @@ def refs_extract(spark, sf):
     return R.refs_extract(header_json(spark, sf))
 
 
-def resolved(spark, sf):
-    return R.refs_resolve(X.edges(spark, sf), X.instances(spark, sf))
+def resolved(spark, sf, obs=None):
+    return R.refs_resolve(X.edges(spark, sf, obs), X.instances(spark, sf, obs))
 
 
 @query("refs_resolve", """
@@ -329,16 +329,18 @@ BINDING = {
 }
 
 
-def contexts(spark, sf):
-    return X.observations(spark, sf).where("modality <> 'US'").select(
+def contexts(spark, sf, obs=None):
+    obs = X.observations(spark, sf) if obs is None else obs
+    return obs.where("modality <> 'US'").select(
         "observation_id",
         F.concat(F.lit("proj"), (F.col("l_partkey") % 10).cast("string")).alias("project_id"),
         F.when(F.col("l_partkey") % 13 != 0, F.concat(F.lit("user"), (F.col("l_partkey") % 13).cast("string"))).alias("user_id"),
     )
 
 
-def bindings(spark, sf):
-    return B.binding_create(X.observations(spark, sf), None, contexts(spark, sf))
+def bindings(spark, sf, obs=None):
+    obs = X.observations(spark, sf) if obs is None else obs
+    return B.binding_create(obs, None, contexts(spark, sf, obs))
 
 
 def binding_attempts(spark, sf):

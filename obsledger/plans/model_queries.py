@@ -10,10 +10,10 @@ from obsledger.operators import canonical as C
 from obsledger.operators import projection as P
 from obsledger.operators import schema_evolution as E
 from obsledger.plans import fixtures as X
-from obsledger.plans.canonical_queries import FAMILY_SQL, FLAGGED, RANKED, all_findings
+from obsledger.plans.canonical_queries import FAMILY_SQL, FLAGGED, RANKED, findings_of
 from obsledger.plans.graph_queries import BINDING, GRAPH, bindings, resolved
 from obsledger.plans.registry import query
-from obsledger.session import shared_dir
+from obsledger.session import run_folder, written
 
 # stored read model: one line number missing, one at an old version, one with an old checksum
 MISSING_LINE, OLD_VERSION_LINE, CHANGED_LINE = 7, 3, 5
@@ -61,23 +61,25 @@ STORED_MODEL = {
 }
 
 
-def canonical_instances(spark, sf):
-    obs = X.observations(spark, sf)
+def canonical_instances(spark, sf, obs=None):
+    obs = X.observations(spark, sf) if obs is None else obs
     columns = ["sop_class_uid", "series_instance_uid", "study_instance_uid", "whole_file_sha256", "observed_at", "observation_id"]
     first = obs.groupBy("sop_instance_uid").agg(F.min_by(F.struct(*columns), F.struct(*C.ARRIVAL)).alias("r"))
     return first.select("sop_instance_uid", "r.*").withColumnRenamed("observation_id", "canonical_observation_id")
 
 
 def projections(spark, sf):
-    obs = X.observations(spark, sf)
+    """The read model over observations that are written first: a dozen branches read them."""
+    lines = X.spread(X.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
+    obs = written(X.observations(spark, sf, lines), "observations")
     return P.projection_build(
-        canonical_instances(spark, sf).drop("whole_file_sha256", "observed_at"),
+        canonical_instances(spark, sf, obs).drop("whole_file_sha256", "observed_at"),
         C.series_upsert(obs),
         C.studies_upsert(obs),
         obs,
-        B.binding_latest(bindings(spark, sf)),
-        P.duplicate_facts(all_findings(spark, sf), obs),
-        P.reference_facts(resolved(spark, sf)),
+        B.binding_latest(bindings(spark, sf, obs)),
+        P.duplicate_facts(findings_of(obs), obs),
+        P.reference_facts(resolved(spark, sf, obs)),
     )
 
 
@@ -193,7 +195,7 @@ SELECT 1 AS step_no, 'analyze' AS step, 'success' AS status, count(*) AS n, conc
 UNION ALL SELECT 2, 'rebuild_projections', 'success', count(*), 'Rebuilt ' || count(*) || ' projections' FROM v_state WHERE {IN_SCOPE}
 UNION ALL SELECT 3, 'verify', 'success', 0, '0 instances missing projections'""", STORED_MODEL)
 def reindex_run(spark, sf):
-    path = f"{shared_dir(spark)}/reindex_run/{sf.strip('/').replace('/', '_')}"
+    path = run_folder(spark, "reindex_run")
     return P.reindex_run(canonical_instances(spark, sf), new_model(spark, sf), held_model(spark, sf), path, SCOPE)
 
 

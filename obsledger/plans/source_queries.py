@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
@@ -11,15 +9,11 @@ from obsledger.operators.review import terminal_items
 from obsledger.plans import fixtures as X
 from obsledger.plans.canonical_queries import FLAGGED
 from obsledger.plans.registry import query
-from obsledger.session import shared_dir
+from obsledger.session import run_folder
 from obsledger.sources import archives, files, manifests, store
 from obsledger.streaming import ingest, metrics
 
 
-def run_folder(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}/{uuid4().hex}"
-
-
 # --- files -------------------------------------------------------------------------------
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks join strategies and splits skewed partitions at run time.
 # forceOptimizeSkewedJoin lets it do so even where that costs one more shuffle.
@@ -54,3 +55,16 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="obsledger-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one run below the shared one."""
+    return f"{shared_dir(spark)}/{name}/{uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table written to the shared folder: what follows reads columns, not the whole lineage."""
+    spark = df.sparkSession
+    path = run_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
