@@ -9,19 +9,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 TRACKED_KEYS = 100_000
-SPREAD = 4_096
+SLOT = "_slot"
 
 
 def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def group_by_slot(df: DataFrame, *keys: str) -> GroupedData:
+    """Group by `keys` with their hash in front, as column `_slot`.
+
+    UIDs and paths share long beginnings, on which sorts would compare them to the end;
+    led by a 64-bit hash they are told apart at once. `lookup_join` takes `_slot` over
+    from its right side, so that a grouped right side is not shuffled again.
+    """
+    return df.groupBy(_hash(keys).alias(SLOT), *keys)
+
+
 def hot_keys_each(df: DataFrame, key_lists: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> list[DataFrame]:
     """For each list of key columns, hashes of the keys that hold at least about `hot_rows` rows.
 
@@ -69,7 +79,9 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
-    values = [c for c in right.columns if c not in keys]
+    values = [c for c in right.columns if c not in keys and c != SLOT]
+    if SLOT not in right.columns:
+        right = right.withColumn(SLOT, _hash(keys))
     found = F.struct(F.lit(True).alias("_found"), *values)
     no_key = F.lit(False)
     for k in keys:
@@ -82,13 +94,13 @@ def lookup_join(
     else:
         hot = F.broadcast(hot_keys(left, keys, hot_rows) if hot is None else hot)
         on_hash = F.col("_hash") == F.col("_hot_hash")
-        hot_side = right.withColumn("_hash", _hash(keys)).join(hot, on_hash).select(*keys, found.alias("_hot"))
+        hot_side = right.join(hot, F.col(SLOT) == F.col("_hot_hash")).select(*keys, found.alias("_hot"))
         tagged = left.withColumn("_hash", _hash(keys)).join(hot, on_hash, "left").join(F.broadcast(hot_side), keys, "left")
         is_hot = F.col("_hot_hash").isNotNull()
-    spread = 1 + F.pmod(F.xxhash64(*scatter), F.lit(SPREAD))
-    tagged = tagged.withColumn("_spread", F.when(is_hot | no_key, spread).otherwise(F.lit(0)).cast("bigint"))
-    cold_side = right.select(*keys, F.lit(0).cast("bigint").alias("_spread"), found.alias("_cold"))
-    joined = tagged.join(cold_side, [*keys, "_spread"], "left").withColumn("_match", F.coalesce("_hot", "_cold"))
+    # a scattered row that lands in its own slot all the same meets the same partner again
+    tagged = tagged.withColumn(SLOT, F.when(is_hot | no_key, F.xxhash64(*scatter)).otherwise(_hash(keys)))
+    cold_side = right.select(SLOT, *keys, found.alias("_cold"))
+    joined = tagged.join(cold_side, [SLOT, *keys], "left").withColumn("_match", F.coalesce("_hot", "_cold"))
     if how == "inner":
         joined = joined.where(F.col("_match").isNotNull())
     return joined.select(*left.columns, *[F.col("_match")[v].alias(v) for v in values])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.keys import natural_key
-from obsledger.functions.skew import HOT_ROWS, arrival_rank, lookup_join
+from obsledger.functions.skew import HOT_ROWS, SLOT, arrival_rank, group_by_slot, lookup_join
 
 ARRIVAL = ("observed_at", "observation_id")
 
@@ -32,8 +32,7 @@ def first_wins_upsert(
     fills much of the batch costs one row per input partition.
     """
     first = (
-        batch.where(F.col(key).isNotNull())
-        .groupBy(key)
+        group_by_slot(batch.where(F.col(key).isNotNull()), key)
         .agg(F.min_by(F.struct(*attributes), F.struct(*order)).alias("_first"))
         .select(key, *[F.col("_first")[a].alias(a) for a in attributes])
     )
@@ -93,29 +92,37 @@ def observations_append(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def canonical_pointers(observations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Canonical observation per instance: the existing pointer, else the first arrival."""
-    first = observations.groupBy("sop_instance_uid").agg(
+def slotted_pointers(observations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """`canonical_pointers` with their hash slot, as the right side of a `lookup_join`."""
+    first = group_by_slot(observations, "sop_instance_uid").agg(
         F.min_by("observation_id", F.struct(*ARRIVAL)).alias("_first"),
         F.count(F.lit(1)).alias("observation_count"),
     )
     if existing is None:
         return first.withColumnRenamed("_first", "canonical_observation_id")
-    held = existing.select("sop_instance_uid", F.col("canonical_observation_id").alias("_held"))
-    return first.join(held, "sop_instance_uid", "full_outer").select(
+    held = existing.select(
+        F.xxhash64("sop_instance_uid").alias(SLOT), "sop_instance_uid", F.col("canonical_observation_id").alias("_held")
+    )
+    return first.join(held, [SLOT, "sop_instance_uid"], "full_outer").select(
+        SLOT,
         "sop_instance_uid",
         F.coalesce("_held", "_first").alias("canonical_observation_id"),
         F.coalesce("observation_count", F.lit(0)).alias("observation_count"),
     )
 
 
+def canonical_pointers(observations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Canonical observation per instance: the existing pointer, else the first arrival."""
+    return slotted_pointers(observations, existing).drop(SLOT)
+
+
 def canonical_select(
     observations: DataFrame, existing: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Observations with `is_canonical` and why."""
     flagged = lookup_join(
         observations,
-        canonical_pointers(observations, existing),
+        slotted_pointers(observations, existing),
         ["sop_instance_uid"],
         scatter=["observation_id"],
         hot_rows=hot_rows,

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.keys import natural_key
-from obsledger.functions.skew import HOT_ROWS, lookup_join
-from obsledger.operators.canonical import ARRIVAL, canonical_pointers
+from obsledger.functions.skew import HOT_ROWS, group_by_slot, lookup_join
+from obsledger.operators.canonical import ARRIVAL, slotted_pointers
 
 FINDING = [
     "finding_id", "observation_id", "duplicate_type", "basis", "matched_observation_id",
@@ -39,7 +39,7 @@ def identity_duplicates(
     observations: DataFrame, existing: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every observation of an instance other than its canonical one."""
-    pointers = canonical_pointers(observations, existing)
+    pointers = slotted_pointers(observations, existing)
     seen = lookup_join(
         observations, pointers, ["sop_instance_uid"], ["observation_id"], "inner", hot_rows, "observation_count"
     )
@@ -51,7 +51,7 @@ def content_duplicates(observations: DataFrame, column: str, hot_rows: int = HOT
     """Observations whose `column` hash was seen before; rows without a hash are left out."""
     hashed = observations.where(F.coalesce(F.col(column), F.lit("")) != "")
     groups = (
-        hashed.groupBy(column)
+        group_by_slot(hashed, column)
         .agg(
             F.min_by("observation_id", F.struct(*ARRIVAL)).alias("first_observation_id"),
             F.count(F.lit(1)).alias("group_size"),
