@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obsledger.llm.sharding import shard_documents
+from obsledger.llm.token_counts import count_pieces
 from obsledger.llm.url_filters import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +17,7 @@ ORACLES: dict[str, str] = {}
 
 # Fixed values of the checked queries.
 SHARDS = 24
+TOKEN_LIMIT = 4096
 URL_RULES = [
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -94,3 +98,9 @@ FROM fits LEFT JOIN classes ON url = node LEFT JOIN shared USING (url_class)
 @query("op8_redirect_equivalence", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op5_pre_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
