@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsledger.llm.packing import pack_documents
 from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
 from obsledger.llm.url_filters import judge_urls
@@ -18,6 +19,7 @@ ORACLES: dict[str, str] = {}
 # Fixed values of the checked queries.
 SHARDS = 24
 TOKEN_LIMIT = 4096
+SEQUENCE_TOKENS = 2048
 URL_RULES = [
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -104,3 +106,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op7_exact_complement")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
