@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
@@ -111,3 +112,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_exact_complement")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
+
+
+@query("op10_grouped_prefix_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
