@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsledger.llm.decontamination import contaminated
 from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.sharding import shard_documents
@@ -117,3 +118,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_grouped_prefix_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -21,6 +21,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+# Letters, digits and all bytes of other scripts: words without their ASCII punctuation.
+ALPHANUMERIC = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -79,10 +81,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = _IN_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, then start, end and row of each word; a word never spans two rows."""
     data = _LOWER[data]
-    inside = _IN_WORD[data]
+    inside = in_word[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -94,9 +98,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return data, starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = _IN_WORD
+) -> tuple[np.ndarray, np.ndarray]:
     """Row and 64-bit hash of each word, in reading order."""
-    lowered, starts, ends, rows = words(data, offsets)
+    lowered, starts, ends, rows = words(data, offsets, in_word)
     return rows, span_hashes(prefix_hashes(lowered), starts, ends)
 
 
