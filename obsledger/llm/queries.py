@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.llm.decontamination import contaminated
+from obsledger.llm.fingerprints import fingerprint_documents
 from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
+from obsledger.llm.toxicity import score_toxicity
 from obsledger.llm.url_filters import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +125,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_benchmark_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_boosted_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_improbable_features")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))

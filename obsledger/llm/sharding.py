@@ -21,20 +21,23 @@ def _key() -> Column:
     return F.struct(*KEY)
 
 
-def _range_of(splitters: list[dict]) -> Column:
-    """Number of splitters at or below the row's key, by binary search in a constant array."""
-    if not splitters:
-        return F.lit(0)
-    kind = "array<struct<_k:bigint,_d:bigint,_r:bigint>>"
-    array = F.from_json(F.lit(json.dumps(splitters)), kind)
-    steps = F.array(*[F.lit(1 << i) for i in range(len(splitters).bit_length() - 1, -1, -1)])
+def range_of(array: Column, length: int, key: Column) -> Column:
+    """Number of elements of a sorted `array` at or below `key`, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in range(length.bit_length() - 1, -1, -1)])
     return F.aggregate(
         steps,
         F.lit(0),
-        lambda at, step: at + F.when(F.coalesce(F.get(array, at + step - 1) <= _key(), F.lit(False)), step).otherwise(0),
+        lambda at, step: at + F.when(F.coalesce(F.get(array, at + step - 1) <= key, F.lit(False)), step).otherwise(0),
     )
 
 
+def _range_of(splitters: list[dict]) -> Column:
+    if not splitters:
+        return F.lit(0)
+    kind = "array<struct<_k:bigint,_d:bigint,_r:bigint>>"
+    return range_of(F.from_json(F.lit(json.dumps(splitters)), kind), len(splitters), _key())
+
+
 def _drawn(rows: DataFrame, total: int, pieces: int, seed: int) -> list[dict]:
     """Splitters at the quantiles of a sample drawn with chances in proportion to size.
 
