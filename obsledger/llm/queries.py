@@ -12,6 +12,7 @@ from obsledger.llm.decontamination import contaminated
 from obsledger.llm.fingerprints import fingerprint_documents
 from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
+from obsledger.llm.ppm import score_documents
 from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
 from obsledger.llm.toxicity import score_toxicity
@@ -135,3 +136,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_improbable_features")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_partial_matching")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
