@@ -10,14 +10,19 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.llm.text import U64, mix
+
 COMMON = 200_000
 LONGEST_COMMON = 64  # bytes of a token in the dictionary; longer ones always take the join
 BLOCK_TOKENS = 200_000  # distinct tokens a task gathers before it hands them on
 OUT_ROWS = 200_000
+BLOCK_VALUES = 1 << 23  # 64-bit values a task gathers before it hands on their counts
+RANGE_BYTES = 8 << 20  # of text per range of hashes when values are counted
 
 Tokens = Callable[[bytes], list[bytes]]
 
@@ -49,6 +54,57 @@ def token_counts(docs: DataFrame, tokens: Tokens) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def range_bits(total_bytes: int) -> int:
+    """Ranges, as a power of two, among which the values of so much text are counted."""
+    return min(16, max(4, int(total_bytes // RANGE_BYTES).bit_length()))
+
+
+def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> DataFrame:
+    """Rows (value, n): how often each 64-bit value comes in what `values` makes of the texts of `docs` (text).
+
+    Tasks hand on the counts of large blocks as packed arrays, one per range of the values' hash;
+    a range is merged in one task. A frequent value is one entry per block, so no range is hot.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            found, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            ranges = (mix(found) >> U64(64 - bits)).astype(np.uint16)
+            order = np.argsort(ranges, kind="stable")
+            found, counts, ranges = found[order], counts[order].astype(np.int64), ranges[order]
+            cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
+            filled = np.flatnonzero(np.diff(cuts))
+            parts = [(found[cuts[r] : cuts[r + 1]].tobytes(), counts[cuts[r] : cuts[r + 1]].tobytes()) for r in filled]
+            columns = [pa.array(filled, pa.int32()), *[pa.array(c, pa.binary()) for c in zip(*parts)]]
+            return pa.RecordBatch.from_arrays(columns, ["_range", "found", "counts"])
+
+        size = 0
+        for batch in batches:
+            for part in values(batch.column(0)):
+                held.append(part)
+                size += len(part)
+                if size >= BLOCK_VALUES:
+                    yield out()
+                    size = 0
+        if size:
+            yield out()
+
+    def merge(group: pa.Table) -> pa.Table:
+        found, counts = (
+            np.concatenate([np.frombuffer(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("found", np.uint64), ("counts", np.int64))
+        )
+        order = np.argsort(found)
+        found, counts = found[order], counts[order]
+        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        return pa.table({"value": pa.array(found[starts].view(np.int64)), "n": pa.array(np.add.reduceat(counts, starts))})
+
+    counted = docs.select("text").mapInArrow(blocks, "_range int, found binary, counts binary")
+    return counted.groupBy("_range").applyInArrow(merge, "value bigint, n bigint")
+
+
 def common_values(values: DataFrame, total: int) -> dict[bytes, tuple[float, float]]:
     """The dictionary of common tokens, from rows (token, n, v, w); at most `COMMON` entries."""
     common = values.where((F.col("n") * F.lit(COMMON) >= F.lit(total)) & (F.octet_length("token") <= LONGEST_COMMON))
