@@ -17,6 +17,7 @@ from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
 from obsledger.llm.toxicity import score_toxicity
 from obsledger.llm.url_filters import judge_urls
+from obsledger.llm.warc import resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +142,77 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_partial_matching")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Each page as a full response, and a later revisit of its address with some of its validators."""
+    tag, choice = F.md5("html"), F.conv(F.substring(F.md5("url"), 1, 4), 16, 10).cast("int")
+    day = F.concat(F.lit("day "), (F.col("page_id") % 100).cast("string"))
+    pages = pages.select("page_id", "url", tag.alias("tag"), choice.alias("choice"), day.alias("day"), F.length("html").cast("string").alias("size"))
+    response = pages.select(
+        (2 * F.col("page_id")).alias("record_id"),
+        "url",
+        (2 * F.col("page_id")).alias("at"),
+        F.lit("response").alias("kind"),
+        F.lit(200).alias("status"),
+        F.col("tag").alias("digest"),
+        F.create_map(
+            F.lit("ETag"), F.concat(F.lit('"'), "tag", F.lit('"')), F.lit("Last-Modified"), F.col("day"), F.lit("Date"), F.col("day"),
+            F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.col("size"),
+        ).alias("headers"),
+    )
+    later = 2 * F.col("page_id") + 1 + 2 * F.col("choice")
+    own_tag = F.concat(F.lit('W/"'), F.when(F.col("choice") % 5 == 0, F.lit("changed")).otherwise(F.col("tag")), F.lit('"'))
+    revisit = pages.select(
+        (2 * F.col("page_id") + 1).alias("record_id"),
+        "url",
+        later.alias("at"),
+        F.lit("revisit").alias("kind"),
+        F.lit(304).alias("status"),
+        F.when(F.col("choice") % 3 == 2, F.col("tag")).alias("digest"),
+        F.map_filter(
+            F.create_map(
+                F.lit("etag"), F.when(F.col("choice") % 3 == 0, own_tag), F.lit("last-modified"), F.when(F.col("choice") % 3 == 1, F.col("day")),
+                F.lit("date"), later.cast("string"), F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=60"),
+            ),
+            lambda _, v: v.isNotNull(),
+        ).alias("headers"),
+    )
+    return response.unionByName(revisit)
+
+
+OP1_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, md5(html) AS tag, CAST('0x' || substr(md5(url), 1, 4) AS INTEGER) AS choice,
+    'day ' || CAST(page_id % 100 AS VARCHAR) AS day, CAST(length(html) AS VARCHAR) AS size,
+    regexp_replace(translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^(www|m)\.', '')
+    || regexp_replace(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/+$', '') AS place,
+    list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$'))) AS kept
+  FROM pages),
+k AS (SELECT *, place || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key FROM p),
+r AS (SELECT 2 * page_id + 1 AS record_id, url_key, 2 * page_id + 1 + 2 * choice AS revisit_at,
+    CASE WHEN choice % 3 = 0 THEN CASE WHEN choice % 5 = 0 THEN 'changed' ELSE tag END END AS etag,
+    CASE WHEN choice % 3 = 1 THEN day END AS changed, CASE WHEN choice % 3 = 2 THEN tag END AS digest, choice FROM k),
+m AS (
+  SELECT r.record_id, r.url_key, r.revisit_at, r.etag, r.changed, r.digest, 2 * k.page_id AS response_id, k.tag, k.day, k.size
+  FROM r LEFT JOIN k ON k.url_key = r.url_key AND (2 * k.page_id < r.revisit_at OR (2 * k.page_id = r.revisit_at AND 2 * k.page_id < r.record_id))
+  QUALIFY row_number() OVER (PARTITION BY r.record_id ORDER BY k.page_id DESC NULLS LAST) = 1),
+s AS (SELECT *, coalesce(etag = tag, changed = day, digest = tag) AS same FROM m),
+d AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no_response' WHEN same IS NULL THEN 'no_validator'
+    WHEN same THEN 'resolved' ELSE 'validator_mismatch' END AS state FROM s)
+SELECT record_id, url_key, revisit_at, response_id, response_id AS response_at,
+  CASE WHEN state = 'resolved' THEN tag END AS digest, state,
+  CASE WHEN state = 'resolved' THEN 'cache-control: max-age=60; content-length: ' || size || '; content-type: text/html; date: '
+    || CAST(revisit_at AS VARCHAR) || '; etag: ' || CASE WHEN etag IS NOT NULL THEN 'W/' ELSE '' END || '"' || tag || '"'
+    || '; last-modified: ' || day END AS headers
+FROM d
+"""
+
+
+@query("op1_revisit_resolution", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.sort_array(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"]))
+    return resolved.withColumn("headers", F.when(F.col("headers").isNotNull(), F.array_join(lines, "; ")))
