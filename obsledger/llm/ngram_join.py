@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsledger.llm.graph import connected_components
@@ -167,6 +167,15 @@ def signed_sets(docs: DataFrame, frequent: np.ndarray, df: np.ndarray) -> DataFr
     )
 
 
+def _may_link(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
+    """Whether sets may link whose first common shingle has these places in their prefixes.
+
+    What stands before it is in one set only, so the overlap is at most what is left of either
+    set; 3/7 of both sizes together is needed. True links pass by the first shingle they share.
+    """
+    return 7 * F.least(n_a - pos_a, n_b - pos_b) >= 3 * (n_a + n_b)
+
+
 def _asked_filter(keys: DataFrame) -> np.ndarray:
     """A filter of `FILTER_WORDS` * 64 bits over column `key`: of fixed size, and never wrong about a key that is in."""
     words = keys.groupBy(F.shiftrightunsigned(F.col("key"), 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int").alias("w"))
@@ -244,9 +253,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     1. Shingle frequencies over all documents put common shingles last in every prefix.
     2. Equal sets become one node; nodes of the same size and prefix become one group.
-    3. An index from prefix shingles to groups gives group pairs. First every group meets the
-       smallest one of each shingle it has, so that large families of copies are linked by a
-       number of pairs in proportion to their size; then, for shingles whose groups are not
+    3. An index from prefix shingles to groups gives group pairs, as far as sizes and the places
+       of the shingle in the prefixes allow. First every group meets one group per shingle it
+       has, that in which the shingle comes first, so that large families of copies are linked
+       by a number of pairs in proportion to their size; then, for shingles whose groups are not
        all in one component yet, groups are expanded to their members, and all pairs of
        members from different components are compared. Links inside a component are not
        needed to know it, all others are found: no group is capped or sampled.
@@ -267,27 +277,30 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     groups = nodes.groupBy("prefix_sig", "n").agg(F.min("node").alias("gid"))
     nodes = written(nodes.join(groups, ["prefix_sig", "n"]).select("node", "gid", "n", "bitmap", "key"), "nodes")
 
-    leaders = filled.select("_row", "prefix").join(nodes.where("node = gid").select("gid"), F.col("_row") == F.col("gid"))
-    index = leaders.select(F.explode("prefix").alias("token"), "gid")
+    leaders = filled.select("_row", "n", "prefix").join(nodes.where("node = gid").select("gid"), F.col("_row") == F.col("gid"))
+    index = leaders.select(F.posexplode("prefix").alias("pos", "token"), "gid", F.col("n").cast("int").alias("n"))
     here = Window.partitionBy("token")
-    index = index.select("token", "gid", F.min("gid").over(here).alias("first"), F.count(F.lit(1)).over(here).alias("m"))
-    index = written(index.where("m > 1").select("token", "gid", "first"), "index")
+    first = F.min(F.struct("pos", "gid", "n")).over(here)
+    index = index.select("token", "gid", "n", "pos", first.alias("first"), F.count(F.lit(1)).over(here).alias("m"))
+    index = written(index.where("m > 1").drop("m"), "index")
 
-    near = index.where("gid <> first").select(F.col("first").alias("a"), F.col("gid").alias("b"))
+    near = index.where("gid <> first.gid").where(_may_link(F.col("n"), F.col("pos"), F.col("first.n"), F.col("first.pos")))
+    near = near.select(F.col("first.gid").alias("a"), F.col("gid").alias("b"))
     inside = nodes.where("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b"))
     links = written(_linked(docs, near.unionByName(inside).distinct(), nodes), "links")
     members = nodes.join(connected_components(links), "node", "left")
     members = written(members.select("node", "gid", "n", F.coalesce("component", "node").alias("c")), "members")
 
     # a group of several nodes is a place of its own where nodes meet, like a shingle
-    places = index.select("token", "gid").join(members, "gid").select("token", "node", "n", "c")
+    places = index.select("token", "gid", "pos").join(members, "gid").select("token", "node", "n", "pos", "c")
     own = members.join(members.where("node <> gid").select("gid").distinct(), "gid", "left_semi")
-    places = written(places.unionByName(own.select(F.col("gid").alias("token"), "node", "n", "c")), "places")
+    own = own.select(F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"), "c")
+    places = written(places.unionByName(own), "places")
     mixed = places.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
     mixed = places.join(mixed, "token")
-    x = mixed.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    y = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    crossing = x.join(y, "token").where("c_a < c_b AND 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)").select("a", "b").distinct()
+    x, y = (mixed.select("token", *[F.col(k).alias(f"{k}_{s}") for k in ("node", "n", "pos", "c")]) for s in "ab")
+    apart = (F.col("c_a") < F.col("c_b")) & _may_link(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
+    crossing = x.join(y, "token").where(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     more = _linked(docs, crossing, nodes)
 
     found = connected_components(links.unionByName(more))
