@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -12,12 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsledger.llm.text import row_chunks, text_bytes
 from obsledger.session import written
 
 ROWS_PER_BUCKET = 200_000
-WORD_CACHE = 300_000  # words whose ids a worker keeps; it starts afresh beyond that
+WORD_CACHE = 1_000_000  # words whose ids a worker keeps
 END_ID = (0).to_bytes(4, "little")
+_CLOSING_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")
 _tokenizers: dict = {}
+_word_ids: dict = {}
 
 
 def _tokenizer(path: str):
@@ -29,20 +33,62 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def encode_words(words: list[bytes], cache: dict[bytes, bytes], path: str) -> bytes:
-    """Ids of a text, as little-endian 32-bit numbers, from those of its words between white space.
+class WordIds:
+    """Ids of texts, as little-endian 32-bit numbers, chained from the ids of their words.
 
-    Exact for tokenizers that drop white space and never merge across it, as the word-level
-    vocabulary does.
+    Exact for a vocabulary that drops white space, lower-cases, and parts letters from
+    punctuation before it merges. Words are keyed lower-cased and without a closing mark;
+    texts that may spell a special token are left as they are. A worker keeps `WORD_CACHE`
+    words at most and starts afresh beyond that.
     """
-    unseen = [w for w in set(words) if w not in cache]
-    if unseen:
-        if len(cache) + len(unseen) > WORD_CACHE:
-            cache.clear()
-            unseen = list(set(words))
-        found = _tokenizer(path).encode_batch([w.decode() for w in unseen], add_special_tokens=False)
-        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(unseen, found))
-    return b"".join(map(cache.__getitem__, words))
+
+    MARK = b"0"  # a digit is a token of its own: it parts words that are encoded together
+    TOGETHER = 256
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[bytes, bytes] = {}
+        self.mark = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
+        self.joinable = len(self.mark) == 1
+
+    def words(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        return _CLOSING_MARK.sub(rb" \1", text.lower()).split()
+
+    def learn(self, words: set[bytes]) -> None:
+        unseen = [w for w in words if w not in self.known]
+        if len(self.known) + len(unseen) > WORD_CACHE:
+            self.known.clear()
+            unseen = list(words)
+        together = [w for w in unseen if self.joinable and self.MARK not in w and b"<" not in w]
+        for start in range(0, len(together), self.TOGETHER):
+            part = together[start : start + self.TOGETHER]
+            ids = np.array(self._ids(b" 0 ".join(part)), "<u4")
+            cuts = np.flatnonzero(ids == self.mark[0])
+            if len(cuts) != len(part) - 1:  # another sign for the same digit: one by one
+                self.known.update((w, np.array(self._ids(w), "<u4").tobytes()) for w in part)
+                continue
+            raw, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+            self.known.update((w, raw[x:y]) for w, x, y in zip(part, starts, ends))
+        if len(together) < len(unseen):
+            taken = set(together)
+            self.known.update((w, np.array(self._ids(w), "<u4").tobytes()) for w in unseen if w not in taken)
+
+    def _ids(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        split = [self.words(t) for t in texts]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's own, kept from task to task."""
+    if path not in _word_ids:
+        _word_ids[path] = WordIds(path)
+    return _word_ids[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
@@ -50,14 +96,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFra
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, bytes] = {}
+        encoder = word_ids(tokenizer_path)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = encode_words((text or b"").split(), cache, tokenizer_path) + END_ID
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start : start + 4 * capacity]
-                    out.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
+            _, offsets = text_bytes(batch.column(1))
+            for low, high in row_chunks(offsets):
+                texts = [t or b"" for t in batch.column(1).slice(low, high - low).cast(pa.binary()).to_pylist()]
+                for doc_id, ids in zip(batch.column(0).slice(low, high - low).to_pylist(), encoder.encode(texts)):
+                    ids += END_ID
+                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[start : start + 4 * capacity]
+                        out.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from obsledger.llm.packing import encode_words, pack_documents, packing_plan
+from obsledger.llm.packing import WordIds, pack_documents, packing_plan
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id bigint, text string, length string, piece int"
@@ -56,13 +56,13 @@ def test_plan_places_everything(seed):
 
 
 def test_words_are_independent():
-    tok = Tokenizer.from_file(PATH)
-    parts = ["It's", "ÀΣ", "á", "́", "<|endoftext|>", "x<|startoftext|>y", "12", " ", "\t", "\n", "\x0b", "\x0c", "\r", " ", "　", "漢字", "…!", "\x1c", "\x85", "Ⅳ"]
+    tok, own = Tokenizer.from_file(PATH), WordIds(PATH)
+    parts = ["It's", "ÀΣ", "a\u0301", "\u0301", "<|endoftext|>", "<|EndOfText|>", "x<|startoftext|>y", "12", "0", "٠", "０", "a.", "b,", "..", "…!", " "]
+    parts += [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\u3000", "\u00a0", "漢字", "\x1c", "\x85", "Ⅳ", "don't.", "K", "İ", "ß", "Word", "the", "<", "|>"]
     random.seed(1)
-    for _ in range(500):
-        text = "".join(random.choice(parts) for _ in range(12))
-        ids = np.frombuffer(encode_words(text.encode().split(), {}, PATH), "<u4").tolist()
-        assert ids == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(random.choice(parts) for _ in range(random.choice([1, 4, 12]))) for _ in range(1500)]
+    for text, ids in zip(texts, own.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_small_and_odd_rows(spark):
