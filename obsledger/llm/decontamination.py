@@ -9,7 +9,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.llm.text import ALPHANUMERIC, U64, mix, row_chunks, text_bytes, word_hashes
@@ -208,17 +209,8 @@ def _terms(items: DataFrame) -> DataFrame:
     return items.select("item", "text").mapInArrow(split, "item bigint, term bigint, tf bigint, words bigint")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows (doc_id, item_id, score, question_overlap, answer_overlap, first_word): items that documents hold.
-
-    docs: (doc_id, text), benchmark: (item_id, text), further columns are not used. The items'
-    index is built from all of them and sent out in parts of at most `PART_ITEMS` items, each
-    asked with every passage; documents are never shuffled. A passage (two buckets of words)
-    retrieves the items of which it reaches `SCORE` of the BM25 score they have for themselves,
-    and holds one when `OVERLAP` of its question's and of its answer's trigrams are there too.
-    Null and empty texts on either side match nothing; repeated rows give hits each; an empty
-    table on either side gives no rows.
-    """
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The index of all items of `benchmark` (item_id, text), in parts of at most about `PART_ITEMS` items."""
     items = written(
         benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("bigint").alias("item_id"), "text"), "items"
     )
@@ -234,26 +226,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     scored = scored.join(own, "item").select("item", "term", (F.col("impact") / F.col("own")).alias("impact"), "frequent")
     parts = -(-n // PART_ITEMS)
     part = F.pmod(F.xxhash64("item"), F.lit(max(parts, 1)))
-    schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, first_word bigint"
-    spark = docs.sparkSession
-    out = spark.createDataFrame([], schema)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     for p in range(parts):
         held = items.where(part == p).orderBy("item").collect()
         number = {r["item"]: i for i, r in enumerate(held)}
         postings = scored.where(part == p).toPandas()
         postings["item"] = postings["item"].map(number)
-        shared = spark.sparkContext.broadcast(build_index(postings, [(r["item_id"], r["text"]) for r in held], longest))
+        yield spark.sparkContext.broadcast(build_index(postings, [(r["item_id"], r["text"]) for r in held], longest))
+
+
+def _hits(index: Index, texts: pa.Array) -> list[tuple]:
+    """Hits of `search` in a column of texts, the best of each row and item."""
+    data, offsets = text_bytes(texts)
+    hits = []
+    for start, end in row_chunks(offsets):
+        rows, hashes = word_hashes(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], ALPHANUMERIC)
+        hits += [(start + h[0], *h[1:]) for h in _best(search(index, rows, hashes, end - start))]
+    return hits
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows (doc_id, item_id, score, question_overlap, answer_overlap, first_word): items that documents hold.
+
+    docs: (doc_id, text), benchmark: (item_id, text), further columns are not used. The items'
+    index is built from all of them and sent out in parts of at most `PART_ITEMS` items, each
+    asked with every passage; documents are never shuffled. A passage (two buckets of words)
+    retrieves the items of which it reaches `SCORE` of the BM25 score they have for themselves,
+    and holds one when `OVERLAP` of its question's and of its answer's trigrams are there too.
+    Null and empty texts on either side match nothing; repeated rows give hits each; an empty
+    table on either side gives no rows.
+    """
+    schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, first_word bigint"
+    spark = docs.sparkSession
+    out = spark.createDataFrame([], schema)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    for shared in _indexes(spark, benchmark):
 
         def ask(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                data, offsets = text_bytes(batch.column("text"))
-                hits = []
-                for start, end in row_chunks(offsets):
-                    rows, hashes = word_hashes(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], ALPHANUMERIC)
-                    hits += [(start + h[0], *h[1:]) for h in _best(search(index, rows, hashes, end - start))]
-                row, item, *rest = list(zip(*hits)) or [()] * 6
+                row, item, *rest = list(zip(*_hits(index, batch.column("text")))) or [()] * 6
                 ids = batch.column("doc_id").take(pa.array(row, pa.int64()))
                 kinds = [pa.float64(), pa.float64(), pa.float64(), pa.int64()]
                 columns = [ids, pa.array([index.item_ids[i] for i in item], pa.int64()), *[pa.array(c, k) for c, k in zip(rest, kinds)]]
@@ -261,3 +272,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         out = out.unionByName(docs.mapInArrow(ask, schema))
     return out
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of `docs`, with all their columns, whose text holds no item by the rule of `contaminated`."""
+    for shared in _indexes(docs.sparkSession, benchmark):
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[h[0] for h in _hits(shared.value, batch.column("text"))]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

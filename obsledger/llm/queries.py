@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,3 +217,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
     lines = F.transform(F.sort_array(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"]))
     return resolved.withColumn("headers", F.when(F.col("headers").isNotNull(), F.array_join(lines, "; ")))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -246,48 +246,68 @@ def _lexicons(sample: DataFrame) -> list[Lexicon]:
     return out
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (doc_id, held_out, score, predicted) for every whole text of `docs` (doc_id, text).
+def _fitted(rows: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Learn from the labelled of `rows` (doc_id, text) that are not held out.
 
-    Learns from `labels` (doc_id, toxic 0/1) of documents that are not held out, at most `SAMPLE`
-    of them, each distinct text once. The lexicon, words and word beginnings with high log odds,
-    is learned there too; a training row's features come from a lexicon learned without its
-    fold. Three quarters of the rows grow the trees, the others calibrate their probability by
-    isotonic regression. Inputs of a score are the features of the text alone.
-
-    A null text counts as empty and gets the score of an empty text. Rows with a null id are
-    not held out and carry no label; repeated rows are scored each; conflicting labels of one
-    text count by their majority. With no labelled text of either class the score is the share
-    of toxic ones (0 without any). Further columns are not used.
+    The result adds `score` to frames with a column `text`, which it takes away.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    is_held_out = remainder(F.col("doc_id"), HELD_OUT_PARTS) == HELD_OUT
     votes = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    votes = votes.where(~is_held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    votes = votes.where(remainder(F.col("doc_id"), HELD_OUT_PARTS) != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     votes = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = written(rows.join(F.broadcast(votes), "doc_id").withColumn("_h", F.xxhash64("text")), "labelled")
     distinct = sample.groupBy("_h").agg(F.min("doc_id").alias("doc_id"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     sample = sample.select("doc_id", "text", "_h").join(F.broadcast(distinct), ["_h", "doc_id"])  # at most SAMPLE rows
-    sample = sample.dropDuplicates(["_h"]).withColumn("fold", F.pmod("_h", F.lit(2)).cast("int")).select("doc_id", "text", "toxic", "fold", "_h")
+    sample = sample.dropDuplicates(["_h"]).withColumn("fold", F.pmod("_h", F.lit(2)).cast("int")).select("text", "toxic", "fold", "_h")
     sample = written(sample, "training")
     classes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(classes) < 2:
         share = 1.0 if classes.get(1) else 0.0
-        return rows.select("doc_id", is_held_out.alias("held_out"), F.lit(share).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
+        return lambda docs: docs.drop("text").withColumn("score", F.lit(share))
     lexicons = _lexicons(sample.select("text", "toxic", "fold"))
-    known = _with_features(sample.select("_h", "doc_id", "text", "fold", F.col("toxic").cast("double").alias("toxic")), lexicons)
-    known = written(known.select("_h", "doc_id", array_to_vector("x").alias("x"), "toxic").repartition(4, "_h").sortWithinPartitions("_h"), "features")
+    known = _with_features(sample.withColumn("toxic", F.col("toxic").cast("double")), lexicons)
+    known = written(known.select("_h", array_to_vector("x").alias("x"), "toxic").repartition(4, "_h").sortWithinPartitions("_h"), "features")
     part = F.pmod(F.shiftright("_h", 8), F.lit(CALIBRATION_PARTS))
     grow, calibrate = known.where(part > 0), known.where(part == 0)
     if grow.select("toxic").distinct().count() < 2:
         grow = known
+    if not calibrate.take(1):
+        calibrate = known
     trees = GBTClassifier(featuresCol="x", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, minInstancesPerNode=5)
     trees = trees.fit(grow)
     raw = vector_to_array("probability")[1].alias("raw")
-    if not calibrate.take(1):
-        calibrate = known
     steps = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="score").fit(trees.transform(calibrate).select(raw, "toxic"))
-    scored = _with_features(rows.withColumn("fold", F.lit(2)), lexicons)
-    scored = trees.transform(scored.select("doc_id", array_to_vector("x").alias("x"))).select("doc_id", raw)
-    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))
-    return steps.transform(scored).select("doc_id", is_held_out.alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+
+    def score(docs: DataFrame) -> DataFrame:
+        kept = [c for c in docs.columns if c != "text"]
+        x = _with_features(docs.withColumn("fold", F.lit(2)), lexicons).select(*kept, array_to_vector("x").alias("x"))
+        scored = steps.transform(trees.transform(x).select(*kept, raw))
+        return scored.select(*kept, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
+
+    return score
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (doc_id, held_out, score, predicted) for every whole text of `docs` (doc_id, text).
+
+    Learns from `labels` (doc_id, toxic 0/1) of documents that are not held out, at most `SAMPLE`
+    of them, each distinct text once. The lexicon, words and word beginnings with high log odds,
+    is learned there too; a training row's features come from a lexicon learned without its
+    fold. Three quarters of the rows grow the trees, the others calibrate their probability by
+    isotonic regression. Inputs of a score are the features of the text alone.
+
+    A null text counts as empty and gets the score of an empty text. Rows with a null id are
+    not held out and carry no label; repeated rows are scored each; conflicting labels of one
+    text count by their majority. Without labelled texts of both classes the score is that of
+    the only one (0 without any). Further columns are not used.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    scored = _fitted(rows, labels)(rows)
+    held_out = remainder(F.col("doc_id"), HELD_OUT_PARTS) == HELD_OUT
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of `docs`, with all their columns, that `score_toxicity` does not predict to be toxic."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    scored = _fitted(rows, labels)(docs.select(F.struct("*").alias("_doc"), "text"))
+    return scored.where(F.col("score") < THRESHOLD).select("_doc.*")
