@@ -1,8 +1,7 @@
 """Joins and arrival windows that hold when a few keys own a large part of the rows.
 
-All helpers are exact. A one-row frequency sketch names the hot keys; it only decides
-how rows travel, never which rows are kept. The hot-key table has at most `HOT_KEYS`
-rows, so broadcasting it is bounded whatever the data size.
+All helpers are exact and treat every key alike: there is no list of hot keys, no limit that
+switches plans, and nothing is broadcast or gathered.
 """
 
 from __future__ import annotations
@@ -12,9 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-TRACKED_KEYS = 100_000
 SLOT = "_slot"
 
 
@@ -32,49 +28,14 @@ def group_by_slot(df: DataFrame, *keys: str) -> GroupedData:
     return df.groupBy(_hash(keys).alias(SLOT), *keys)
 
 
-def hot_keys_each(df: DataFrame, key_lists: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> list[DataFrame]:
-    """For each list of key columns, hashes of the keys that hold at least about `hot_rows` rows.
-
-    One pass over `df` sketches all lists; each result has at most `HOT_KEYS` rows. Rows
-    with a null among the key columns are left out.
-    """
-    hashes = [
-        F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull(), _hash(keys)).alias(f"_h{i}")
-        for i, keys in enumerate(key_lists)
-    ]
-    tops = [
-        f"transform(approx_top_k(_h{i}, {HOT_KEYS}, {TRACKED_KEYS}), t -> struct({i} AS _list, t.item AS _hot_hash, t.count AS _n))"
-        for i in range(len(key_lists))
-    ]
-    top = df.select(*hashes).agg(F.expr(f"concat({', '.join(tops)})").alias("_top")).select(F.inline("_top"))
-    heavy = top.where((F.col("_n") >= hot_rows) & F.col("_hot_hash").isNotNull())
-    return [heavy.where(F.col("_list") == i).select("_hot_hash") for i in range(len(key_lists))]
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    return hot_keys_each(df, [keys], hot_rows)[0]
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    scatter: Sequence[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    weight: str | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], scatter: Sequence[str], how: str = "left") -> DataFrame:
     """Join `left` to `right`, which has at most one row per key, on the same-named `keys`.
 
-    Rows of hot keys meet their one right-hand row in a broadcast join of at most
-    `HOT_KEYS` rows. In the shuffle join that serves all other keys they, and rows with
-    a null key, are scattered by a hash of the `scatter` columns instead of piling up
-    in one partition. Result columns: those of `left`, then the non-key ones of `right`.
-
-    `weight` names a column of `right` that counts the key's rows in `left`; where it is
-    known, the hot keys come from it and `left` is not read a second time. `hot` hands in
-    the result of `hot_keys_each`, for joins that follow each other on the same rows.
+    Rows with a null key match nothing and would pile up in one partition: a left join
+    scatters them by a hash of the `scatter` columns, an inner join leaves them out. A key
+    that owns many rows of `left` is split by adaptive execution, which measures partitions
+    (`spark.sql.adaptive.skewJoin`). Result columns: those of `left`, then the non-key
+    ones of `right`.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -82,96 +43,57 @@ def lookup_join(
     values = [c for c in right.columns if c not in keys and c != SLOT]
     if SLOT not in right.columns:
         right = right.withColumn(SLOT, _hash(keys))
-    found = F.struct(F.lit(True).alias("_found"), *values)
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    if weight is not None:
-        heaviest = right.where(F.col(weight) >= hot_rows).orderBy(F.desc(weight), *keys).limit(HOT_KEYS)
-        hot_side = heaviest.select(*keys, found.alias("_hot"))
-        tagged = left.join(F.broadcast(hot_side), keys, "left")
-        is_hot = F.col("_hot").isNotNull()
-    else:
-        hot = F.broadcast(hot_keys(left, keys, hot_rows) if hot is None else hot)
-        on_hash = F.col("_hash") == F.col("_hot_hash")
-        hot_side = right.join(hot, F.col(SLOT) == F.col("_hot_hash")).select(*keys, found.alias("_hot"))
-        tagged = left.withColumn("_hash", _hash(keys)).join(hot, on_hash, "left").join(F.broadcast(hot_side), keys, "left")
-        is_hot = F.col("_hot_hash").isNotNull()
-    # a scattered row that lands in its own slot all the same meets the same partner again
-    tagged = tagged.withColumn(SLOT, F.when(is_hot | no_key, F.xxhash64(*scatter)).otherwise(_hash(keys)))
-    cold_side = right.select(SLOT, *keys, found.alias("_cold"))
-    joined = tagged.join(cold_side, [SLOT, *keys], "left").withColumn("_match", F.coalesce("_hot", "_cold"))
     if how == "inner":
-        joined = joined.where(F.col("_match").isNotNull())
-    return joined.select(*left.columns, *[F.col("_match")[v].alias(v) for v in values])
+        left = left.where(~no_key)
+    tagged = left.withColumn(SLOT, F.when(no_key, F.xxhash64(*scatter)).otherwise(_hash(keys)))
+    return tagged.join(right.select(SLOT, *keys, *values), [SLOT, *keys], how).select(*left.columns, *values)
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int) -> DataFrame:
-    """Tag rows with `_bucket`: an order-preserving bucket for hot keys, null for all others."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    return (
-        df.join(hot, _hash(keys) == F.col("_hot_hash"), "left")
-        .withColumn("_bucket", F.when(F.col("_hot_hash").isNotNull(), bucket))
-        .drop("_hot_hash")
-    )
+def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """Rows with `_key`, in which nulls equal each other, and `_bucket`, empty text for a null one."""
+    return df.withColumns({"_key": F.struct(*keys), "_bucket": F.coalesce(bucket, F.lit(""))})
 
 
-def arrival_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    bucket: Column,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def arrival_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str) -> DataFrame:
     """Add `name`: 1, 2, 3, … within `keys` by ascending `order`.
 
-    `bucket` is text that never decreases along `order`. Rows of hot keys are ranked per
-    bucket and shifted by the sizes of the earlier buckets, so no task sorts a whole hot
-    key; other keys take one plain window. The shift join reuses the window's partitioning.
+    `bucket` is text that never decreases along `order`. Rows are ranked per key and bucket
+    and shifted by the sizes of the key's earlier buckets, so no task sorts more than one
+    bucket of a key at once. The shift join reuses the window's partitioning.
     """
-    keys = list(keys)
-    tagged = _bucketed(df, keys, bucket, hot_rows)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    tagged = _bucketed(df, keys, bucket)
+    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        tagged.where(F.col("_bucket").isNotNull())
-        .groupBy(*keys, "_bucket")
+        tagged.groupBy("_key", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+        .select("_key", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
     )
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
+    local = F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy(*order))
     return (
         tagged.withColumn("_local", local)
-        .join(shifts, [*keys, "_bucket"], "left")
-        .select(*df.columns, (F.col("_local") + F.coalesce("_shift", F.lit(0))).cast("bigint").alias(name))
+        .join(shifts, ["_key", "_bucket"])
+        .select(*df.columns, (F.col("_local") + F.col("_shift")).cast("bigint").alias(name))
     )
 
 
-def previous_row(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    bucket: Column,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column, name: str) -> DataFrame:
     """Add `name`: the `value` of the row just before within `keys` by `order`, null for the first.
 
     Same scheme as `arrival_rank`: the first row of a bucket takes the last value of the
     bucket before it.
     """
-    keys = list(keys)
-    tagged = _bucketed(df, keys, bucket, hot_rows)
+    tagged = _bucketed(df, keys, bucket)
     ends = (
-        tagged.where(F.col("_bucket").isNotNull())
-        .groupBy(*keys, "_bucket")
+        tagged.groupBy("_key", "_bucket")
         .agg(F.max_by(F.struct(value), F.struct(*order)).alias("_end"))
-        .select(*keys, "_bucket", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried"))
+        .select("_key", "_bucket", F.lag("_end").over(Window.partitionBy("_key").orderBy("_bucket")).alias("_carried"))
     )
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    within = Window.partitionBy("_key", "_bucket").orderBy(*order)
     return (
         tagged.withColumn("_before", F.lag(F.struct(value)).over(within))
-        .join(ends, [*keys, "_bucket"], "left")
+        .join(ends, ["_key", "_bucket"])
         .select(*df.columns, F.coalesce("_before", "_carried")[value].alias(name))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.keys import natural_key
-from obsledger.functions.skew import HOT_ROWS, SLOT, arrival_rank, group_by_slot, lookup_join
+from obsledger.functions.skew import SLOT, arrival_rank, group_by_slot, lookup_join
 
 ARRIVAL = ("observed_at", "observation_id")
 
@@ -117,7 +117,7 @@ def canonical_pointers(observations: DataFrame, existing: DataFrame | None = Non
 
 
 def canonical_select(
-    observations: DataFrame, existing: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    observations: DataFrame, existing: DataFrame | None = None
 ) -> DataFrame:
     """Observations with `is_canonical` and why."""
     flagged = lookup_join(
@@ -125,8 +125,6 @@ def canonical_select(
         slotted_pointers(observations, existing),
         ["sop_instance_uid"],
         scatter=["observation_id"],
-        hot_rows=hot_rows,
-        weight="observation_count",
     )
     is_canonical = F.col("observation_id") == F.col("canonical_observation_id")
     return flagged.select(
@@ -163,10 +161,10 @@ def canonical_current(instances: DataFrame, observations: DataFrame) -> DataFram
     return observations.join(pointers, "observation_id", "left_semi")
 
 
-def observation_history(observations: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def observation_history(observations: DataFrame) -> DataFrame:
     """All versions of each instance; the highest `version_no` is the newest."""
     return arrival_rank(
-        observations, ["sop_instance_uid"], list(ARRIVAL), arrival_bucket(), "version_no", hot_rows
+        observations, ["sop_instance_uid"], list(ARRIVAL), arrival_bucket(), "version_no"
     )
 
 
@@ -230,7 +228,7 @@ def ledger_invariants(
 
 
 def observation_diff(
-    observations: DataFrame, compared: Sequence[str], hot_rows: int = HOT_ROWS
+    observations: DataFrame, compared: Sequence[str]
 ) -> DataFrame:
     """Each later observation against the canonical one: changed hashes and changed columns."""
     base = observations.where("is_canonical").select(
@@ -241,7 +239,7 @@ def observation_diff(
         *[F.col(c).alias(f"_base_{c}") for c in compared],
     )
     later = observations.where(~F.col("is_canonical"))
-    joined = lookup_join(later, base, ["sop_instance_uid"], ["observation_id"], "inner", hot_rows)
+    joined = lookup_join(later, base, ["sop_instance_uid"], ["observation_id"], "inner")
     changed = [F.when(~F.col(c).eqNullSafe(F.col(f"_base_{c}")), F.lit(c)) for c in sorted(compared)]
     return joined.select(
         "base_observation_id",
@@ -252,11 +250,11 @@ def observation_diff(
     )
 
 
-def comments_active(comments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def comments_active(comments: DataFrame) -> DataFrame:
     """Undeleted notes, numbered oldest first within their observation."""
     bucket = F.lpad((F.col("seq") / 1000).cast("bigint").cast("string"), 18, "0")
     return arrival_rank(
-        comments.where(~F.col("deleted")), ["observation_id"], ["seq"], bucket, "position", hot_rows
+        comments.where(~F.col("deleted")), ["observation_id"], ["seq"], bucket, "position"
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.keys import natural_key
-from obsledger.functions.skew import HOT_ROWS, group_by_slot, lookup_join
+from obsledger.functions.skew import group_by_slot, lookup_join
 from obsledger.operators.canonical import ARRIVAL, slotted_pointers
 
 FINDING = [
@@ -36,18 +36,18 @@ def _findings(df: DataFrame, kind: str, basis: str, matched_observation, matched
 
 
 def identity_duplicates(
-    observations: DataFrame, existing: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    observations: DataFrame, existing: DataFrame | None = None
 ) -> DataFrame:
     """Every observation of an instance other than its canonical one."""
     pointers = slotted_pointers(observations, existing)
     seen = lookup_join(
-        observations, pointers, ["sop_instance_uid"], ["observation_id"], "inner", hot_rows, "observation_count"
+        observations, pointers, ["sop_instance_uid"], ["observation_id"], "inner"
     )
     later = seen.where(F.col("observation_id") != F.col("canonical_observation_id"))
     return _findings(later, "identity", "sop_instance_uid", F.lit(None), F.col("sop_instance_uid"))
 
 
-def content_duplicates(observations: DataFrame, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def content_duplicates(observations: DataFrame, column: str) -> DataFrame:
     """Observations whose `column` hash was seen before; rows without a hash are left out."""
     hashed = observations.where(F.coalesce(F.col(column), F.lit("")) != "")
     groups = (
@@ -58,7 +58,7 @@ def content_duplicates(observations: DataFrame, column: str, hot_rows: int = HOT
         )
         .where("group_size > 1")
     )
-    seen = lookup_join(hashed, groups, [column], ["observation_id"], "inner", hot_rows, "group_size")
+    seen = lookup_join(hashed, groups, [column], ["observation_id"], "inner")
     later = seen.where(F.col("observation_id") != F.col("first_observation_id"))
     return _findings(later, "content", column, F.col("first_observation_id"), F.lit(None), "group_size")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.keys import item_fingerprint
-from obsledger.functions.skew import HOT_ROWS, lookup_join, previous_row
+from obsledger.functions.skew import lookup_join, previous_row
 
 
 def axes() -> Column:
@@ -29,7 +29,7 @@ def fingerprint_items(items: DataFrame) -> DataFrame:
     return items.groupBy(key.alias("item_fingerprint")).agg(F.min("item_id").alias("item_id"))
 
 
-def job_idempotency(requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def job_idempotency(requests: DataFrame) -> DataFrame:
     """First request per actor and key is accepted, repeats are replays, other bodies conflicts.
 
     `requests`: request_id, actor_id, idempotency_key, body, requested_at. Requests
@@ -41,11 +41,10 @@ def job_idempotency(requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.min_by(F.struct("request_id", "body"), F.struct("requested_at", "request_id")).alias("_first"),
-            F.count(F.lit(1)).alias("_n"),
         )
-        .select(*keys, F.col("_first.request_id").alias("first_request_id"), F.col("_first.body").alias("_body"), "_n")
+        .select(*keys, F.col("_first.request_id").alias("first_request_id"), F.col("_first.body").alias("_body"))
     )
-    joined = lookup_join(requests, first, keys, ["request_id"], "left", hot_rows, "_n")
+    joined = lookup_join(requests, first, keys, ["request_id"], "left")
     is_first = F.col("idempotency_key").isNull() | (F.col("request_id") == F.col("first_request_id"))
     return joined.select(
         *requests.columns,
@@ -146,14 +145,14 @@ def item_flags(items: DataFrame) -> DataFrame:
     )
 
 
-def transition_check(states: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transition_check(states: DataFrame) -> DataFrame:
     """State changes of jobs that the allowed transitions do not cover.
 
     `states`: job_id, ts, event_id, state. A job starts as created; repeating a state is
-    allowed. A busy job is compared hour by hour.
+    allowed. A busy job is compared second by second.
     """
-    hour = F.date_format("ts", "yyyy-MM-dd HH")
-    seen = previous_row(states, ["job_id"], ["ts", "event_id"], "state", hour, "from_state", hot_rows)
+    second = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    seen = previous_row(states, ["job_id"], ["ts", "event_id"], "state", second, "from_state")
     seen = seen.withColumn("from_state", F.coalesce("from_state", F.lit("created")))
     allowed = F.create_map(
         *[

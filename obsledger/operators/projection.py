@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.keys import natural_key
-from obsledger.functions.skew import HOT_ROWS, hot_keys_each, lookup_join
+from obsledger.functions.skew import lookup_join
 
 SOURCE = [
     "sop_instance_uid", "sop_class_uid", "canonical_observation_id", "series_instance_uid", "modality",
@@ -56,23 +56,21 @@ def projection_build(
     bindings: DataFrame,
     duplicates: DataFrame,
     references: DataFrame,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Flat row per instance with a canonical observation.
 
     Every input but `observations` has one row per key; `bindings`, `duplicates` and
     `references` are keyed by instance. One series or study may own a large part of the
-    instances, so those two lookups spread their hot keys.
+    instances; adaptive execution splits those two joins.
     """
-    by_series, by_study = hot_keys_each(instances, [["series_instance_uid"], ["study_instance_uid"]], hot_rows)
     scatter = ["sop_instance_uid"]
     rows = lookup_join(
         instances, series.select("series_instance_uid", "modality", "object_class_family"),
-        ["series_instance_uid"], scatter, "inner", hot_rows, hot=by_series,
+        ["series_instance_uid"], scatter, "inner",
     )
     rows = lookup_join(
         rows, studies.select("study_instance_uid", "study_date", "patient_id", "patient_name"),
-        ["study_instance_uid"], scatter, "inner", hot_rows, hot=by_study,
+        ["study_instance_uid"], scatter, "inner",
     )
     canonical = observations.select(
         F.col("observation_id").alias("canonical_observation_id"), "whole_file_sha256", "pixel_digest"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
-from obsledger.functions.skew import HOT_ROWS, arrival_rank
+from obsledger.functions.skew import arrival_rank
 from obsledger.operators.lifecycle import any_failed
 
 
@@ -64,7 +64,7 @@ def retry_summary(replays: DataFrame, dry_run: bool = False) -> DataFrame:
     return totals.select("*", (F.lit(dry_run) | (F.col("failed") == 0)).alias("success"), F.lit(dry_run).alias("dry_run"))
 
 
-def replay_history(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def replay_history(log: DataFrame) -> DataFrame:
     """Replays of each item, numbered in order; the highest number is the newest."""
-    day = F.date_format("replayed_at", "yyyy-MM-dd HH")
-    return arrival_rank(log, ["item_id"], ["replayed_at", "event_id"], day, "replay_no", hot_rows)
+    second = F.date_format("replayed_at", "yyyy-MM-dd HH:mm:ss")
+    return arrival_rank(log, ["item_id"], ["replayed_at", "event_id"], second, "replay_no")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.functions.skew import HOT_ROWS, lookup_join
+from obsledger.functions.skew import lookup_join
 
 
-def content_store_plan(blobs: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def content_store_plan(blobs: DataFrame, store: DataFrame) -> DataFrame:
     """What to do with each received blob: store, skip, or refuse for a wrong hash.
 
     `blobs`: item_id, content, declared_sha256; `store`: sha256 of what is held. Of equal
@@ -21,10 +21,10 @@ def content_store_plan(blobs: DataFrame, store: DataFrame, hot_rows: int = HOT_R
     sound = hashed.where(~wrong)
     first = (
         sound.groupBy("sha256")
-        .agg(F.min("item_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min("item_id").alias("_first"))
         .join(store.select("sha256", F.lit(True).alias("_held")).distinct(), "sha256", "left")
     )
-    planned = lookup_join(sound, first, ["sha256"], ["item_id"], "left", hot_rows, "_n").select(
+    planned = lookup_join(sound, first, ["sha256"], ["item_id"], "left").select(
         *hashed.columns,
         F.when(F.col("_held"), "already_stored").when(F.col("item_id") == F.col("_first"), "store")
         .otherwise("already_stored").alias("action"),

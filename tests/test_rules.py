@@ -218,14 +218,13 @@ def test_path_shorten_takes_the_mildest_step(spark):
         H.path_shorten(df, "p", "/a/very/long/base/folder", 40)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10_000])
-def test_path_version_numbers(spark, hot_rows):
+def test_path_version_numbers(spark):
     df = spark.range(1200).select(
         F.lit("in/x.tar.dcm").alias("path"),
         F.when(F.col("id").isin(0, 5), "base").otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("sha"),
         F.lit("2024-01-01").cast("date").alias("observed_at"), F.format_string("%05d", "id").alias("observation_id"),
     )
-    got = {r["observation_id"]: r["stored_path"] for r in H.path_version(df, hot_rows=hot_rows).collect()}
+    got = {r["observation_id"]: r["stored_path"] for r in H.path_version(df).collect()}
     assert got["00000"] == got["00005"] == "in/x.tar.dcm"
     assert got["00001"] == "in/x.tar_v001.dcm"
     assert got["00006"] == "in/x.tar_v005.dcm"

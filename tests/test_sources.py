@@ -86,14 +86,13 @@ def test_curated_samples_and_annotations(spark):
     assert rows(manifests.missing_annotations(gone)) == [("s1", "mask"), ("s2", "mask"), ("s3", "mask"), ("s4.tar", "mask")]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10_000])
-def test_content_store_plan(spark, hot_rows):
+def test_content_store_plan(spark):
     blobs = spark.createDataFrame(
         [(1, bytearray(b"a"), None), (2, bytearray(b"a"), None), (3, bytearray(b"b"), "00"), (4, bytearray(b"b"), None), (5, bytearray(b"c"), None)],
         "item_id int, content binary, declared_sha256 string",
     )
     held = spark.createDataFrame([(bytearray(b"c"),)], "c binary").select(F.sha2("c", 256).alias("sha256"))
-    assert rows(store.content_store_plan(blobs, held, hot_rows), "item_id", "action") == [
+    assert rows(store.content_store_plan(blobs, held), "item_id", "action") == [
         (1, "store"), (2, "already_stored"), (3, "hash_mismatch"), (4, "store"), (5, "already_stored"),
     ]
 
