@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from obsledger.llm.text import U64, mix
 
-COMMON = 200_000
+COMMON = 500_000
 LONGEST_COMMON = 64  # bytes of a token in the dictionary; longer ones always take the join
-BLOCK_TOKENS = 200_000  # distinct tokens a task gathers before it hands them on
+BLOCK_TOKENS = 500_000  # distinct tokens a task gathers before it hands them on
 OUT_ROWS = 200_000
 BLOCK_VALUES = 1 << 23  # 64-bit values a task gathers before it hands on their counts
 RANGE_BYTES = 8 << 20  # of text per range of hashes when values are counted
