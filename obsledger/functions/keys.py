@@ -12,9 +12,6 @@ def natural_key(*columns: Column | str) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
 
 
-def item_fingerprint(job: Column, path: Column, size: Column, file_hash: Column | None = None) -> Column:
-    """SHA-256 over job, path, size and, when known, the file hash."""
-    parts = [job.cast("string"), path, size.cast("string")]
-    if file_hash is not None:
-        parts.append(file_hash)
-    return F.sha2(F.concat_ws(":", *parts), 256)
+def item_fingerprint(job: Column, kind: Column, path: Column, size: Column) -> Column:
+    """SHA-256 over `job:kind:path:size`; a null part is empty text. It does not change once a hash is known."""
+    return F.sha2(F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("")) for c in (job, kind, path, size)]), 256)

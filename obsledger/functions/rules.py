@@ -61,6 +61,15 @@ def uid_errors(uid: Column) -> Column:
     return F.when(empty, F.array(F.lit("empty"))).otherwise(broken)
 
 
+def header_uid_errors(tags: Column) -> Column:
+    """A message for each of the header's UID tags that has a value of the wrong form."""
+    wrong = [
+        F.when(has_value(tags, n) & ~is_dotted_number(tag(tags, n)), F.concat(F.lit(f"Invalid UID format in {n}: "), tag(tags, n)))
+        for n in V.UID_TAGS
+    ]
+    return F.array_compact(F.array(*wrong))
+
+
 def path_errors(path: Column, is_file_name: bool = False) -> Column:
     """Names of the path rules that are broken; of the dangerous patterns only the first is named."""
     empty = F.coalesce(path, F.lit("")) == ""
@@ -180,16 +189,26 @@ def safe_int(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def tag_json(tags: Column) -> Column:
-    """Tags as JSON text, null when there are none."""
-    return F.when(F.size(tags) > 0, F.to_json(tags))
-
-
 def text_of_bytes(raw: Column) -> Column:
     """UTF-8 text of bytes, broken sequences replaced."""
     return F.make_valid_utf8(raw.cast("string"))
 
 
+def tag_json(tags: Column, raw: Column | None = None, dates: Column | None = None) -> Column:
+    """Tags as JSON text in order of their names, null when there are none.
+
+    `tags`, `raw` and `dates` are maps from name to text, bytes and dates. Bytes become text
+    with broken sequences replaced, dates their ISO form. A name stands in one map only.
+    """
+    entries = [F.map_entries(tags)]
+    if raw is not None:
+        entries.append(F.map_entries(F.transform_values(raw, lambda _, v: text_of_bytes(v))))
+    if dates is not None:
+        entries.append(F.map_entries(F.transform_values(dates, lambda _, v: v.cast("string"))))
+    every = F.concat(*[F.coalesce(e, F.array().cast("array<struct<key:string,value:string>>")) for e in entries])
+    return F.when(F.size(every) > 0, F.to_json(F.map_from_entries(F.array_sort(every))))
+
+
 def looks_like_image(content: Column, magic: bytes = V.MAGIC, offset: int = V.MAGIC_OFFSET) -> Column:
     """The format's magic bytes stand at their place."""
     here = F.substring(content, offset + 1, len(magic))

@@ -224,4 +224,6 @@ LARGE_SCOPE = 10000
 
 STAGE_BUCKETS_MS = [10, 50, 100, 250, 500, 1000, 5000, 10000]
 LAG_BUCKETS_S = [1, 5, 10, 30, 60, 120, 300, 600]
+UID_TAGS = ["SOPInstanceUID", "StudyInstanceUID", "SeriesInstanceUID", "FrameOfReferenceUID"]
+
 RECOVERY_BUCKETS_MS = [100, 500, 1000, 2500, 5000, 10000, 30000, 60000]

@@ -194,23 +194,31 @@ def ledger_invariants(
     findings: DataFrame,
     items: DataFrame,
     attempts: DataFrame,
+    edges: DataFrame | None = None,
+    private_tags: DataFrame | None = None,
+    requests: DataFrame | None = None,
 ) -> DataFrame:
-    """Violated ledger rules as (rule, subject, n); empty when the ledger is sound."""
+    """Violated ledger rules as (rule, subject, n); empty when the ledger is sound.
+
+    Natural keys: UIDs of studies, series and instances, `finding_id`, `edge_id`, creator and tag
+    of an observation, series of a job's attempts, an actor's idempotency key (where there is
+    one) and `item_fingerprint`. Rules on keys apply where a table has the columns.
+    """
 
     def rows(df: DataFrame, rule: str, subject: str, count: Column | None = None) -> DataFrame:
         n = F.lit(1) if count is None else count
         return df.select(F.lit(rule).alias("rule"), F.col(subject).cast("string").alias("subject"), n.cast("bigint").alias("n"))
 
-    def repeated(df: DataFrame, key: str) -> DataFrame:
-        return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    def repeated(df: DataFrame, rule: str, *keys: str) -> DataFrame:
+        found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        subject = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        return rows(found.select(subject.alias("subject"), "n"), rule, "subject", F.col("n"))
 
     checks = [
-        rows(repeated(instances, "sop_instance_uid"), "instance_not_unique", "sop_instance_uid", F.col("n")),
-        rows(repeated(studies, "study_instance_uid"), "study_not_unique", "study_instance_uid", F.col("n")),
-        rows(
-            repeated(observations.where("is_canonical"), "sop_instance_uid"),
-            "several_canonical_observations", "sop_instance_uid", F.col("n"),
-        ),
+        repeated(instances, "instance_not_unique", "sop_instance_uid"),
+        repeated(series, "series_not_unique", "series_instance_uid"),
+        repeated(studies, "study_not_unique", "study_instance_uid"),
+        repeated(observations.where("is_canonical"), "several_canonical_observations", "sop_instance_uid"),
         rows(series.join(studies, "study_instance_uid", "left_anti"), "series_without_study", "series_instance_uid"),
         rows(
             findings.where(F.col("matched_observation_id").isNull() & F.col("matched_instance_uid").isNull()),
@@ -221,32 +229,50 @@ def ledger_invariants(
             "attempt_of_other_job", "item_id",
         ),
     ]
+    if "series_instance_uid" in instances.columns:
+        checks.append(rows(instances.join(series, "series_instance_uid", "left_anti"), "instance_without_series", "sop_instance_uid"))
+    if "canonical_observation_id" in instances.columns:
+        owners = observations.select(F.col("observation_id").alias("canonical_observation_id"), F.col("sop_instance_uid").alias("_owner"))
+        pointed = instances.join(owners, "canonical_observation_id").where(F.col("_owner") != F.col("sop_instance_uid"))
+        checks.append(rows(pointed, "canonical_of_other_instance", "sop_instance_uid"))
+    keyed = [
+        (findings, "finding_not_unique", ["finding_id"]),
+        (attempts, "attempt_not_unique", ["job_id", "series_instance_uid"]),
+        (items, "item_fingerprint_not_unique", ["item_fingerprint"]),
+        (edges, "edge_not_unique", ["edge_id"]),
+        (private_tags, "private_tag_not_unique", ["observation_id", "creator", "tag"]),
+    ]
+    checks += [repeated(df, rule, *keys) for df, rule, keys in keyed if df is not None and set(keys) <= set(df.columns)]
+    if requests is not None:
+        checks.append(repeated(requests.where("idempotency_key IS NOT NULL"), "idempotency_key_not_unique", "actor_id", "idempotency_key"))
     result = checks[0]
     for check in checks[1:]:
         result = result.unionByName(check)
     return result
 
 
-def observation_diff(
-    observations: DataFrame, compared: Sequence[str]
-) -> DataFrame:
-    """Each later observation against the canonical one: changed hashes and changed columns."""
+def observation_diff(observations: DataFrame, tags: str = "tags") -> DataFrame:
+    """Each later observation against the canonical one: changed hashes, and the tags that changed.
+
+    `tags` is the column with the whole tag map; a tag that one side lacks equals a null one.
+    """
     base = observations.where("is_canonical").select(
         "sop_instance_uid",
         F.col("observation_id").alias("base_observation_id"),
         F.col("whole_file_sha256").alias("_base_sha"),
         F.col("pixel_digest").alias("_base_pixels"),
-        *[F.col(c).alias(f"_base_{c}") for c in compared],
+        F.col(tags).alias("_base_tags"),
     )
     later = observations.where(~F.col("is_canonical"))
     joined = lookup_join(later, base, ["sop_instance_uid"], ["observation_id"], "inner")
-    changed = [F.when(~F.col(c).eqNullSafe(F.col(f"_base_{c}")), F.lit(c)) for c in sorted(compared)]
+    names = F.array_sort(F.array_union(F.map_keys(tags), F.map_keys("_base_tags")))
+    changed = F.filter(names, lambda k: ~F.try_element_at(F.col(tags), k).eqNullSafe(F.try_element_at(F.col("_base_tags"), k)))
     return joined.select(
         "base_observation_id",
         F.col("observation_id").alias("compare_observation_id"),
         (~F.col("whole_file_sha256").eqNullSafe(F.col("_base_sha"))).alias("whole_file_sha256_changed"),
         (~F.col("pixel_digest").eqNullSafe(F.col("_base_pixels"))).alias("pixel_digest_changed"),
-        F.concat_ws(",", *changed).alias("changed_tags"),
+        F.array_join(changed, ",").alias("changed_tags"),
     )
 
 

@@ -25,7 +25,7 @@ def any_failed() -> Column:
 
 def fingerprint_items(items: DataFrame) -> DataFrame:
     """One row per fingerprint; the lowest item id stands for repeated ones."""
-    key = item_fingerprint(F.col("job_id"), F.col("source_path"), F.col("byte_size"), F.col("whole_file_sha256"))
+    key = item_fingerprint(F.col("job_id"), F.col("source_kind"), F.col("source_path"), F.col("byte_size"))
     return items.groupBy(key.alias("item_fingerprint")).agg(F.min("item_id").alias("item_id"))
 
 

@@ -106,6 +106,11 @@ def recovery_time(replays: DataFrame) -> DataFrame:
     )
 
 
+def recovery_histogram(replays: DataFrame) -> DataFrame:
+    """Cumulative buckets of the duration of replays."""
+    return histogram(replays, [], "duration_ms", V.RECOVERY_BUCKETS_MS)
+
+
 def alert_rules(events: DataFrame, items: DataFrame, as_of: Column) -> DataFrame:
     """Value and level of each alert rule, and the worst of them as `overall`.
 

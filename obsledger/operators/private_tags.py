@@ -21,14 +21,15 @@ class PrivateTagPolicy:
     interpret: Sequence[str] = field(default_factory=tuple)
     preserve: Sequence[str] = field(default_factory=tuple)
     default: str = "preserve"
-    max_raw_value: int = V.MAX_RAW_VALUE
+    max_raw_value: int | None = None
 
 
 def apply_policy(tags: DataFrame, policy: PrivateTagPolicy) -> DataFrame:
     """Tags as they are stored under the policy.
 
     `tags`: observation_id, creator, tag, vr, raw_value (binary). Text of interpretable
-    kinds is read; preserved values over the limit are cut and marked.
+    kinds is read. Preserved values are kept whole; only under a policy with
+    `max_raw_value` are longer ones cut to it and marked.
     """
     creator = F.coalesce("creator", F.lit(""))
     action = (
@@ -40,13 +41,13 @@ def apply_policy(tags: DataFrame, policy: PrivateTagPolicy) -> DataFrame:
     raw = F.col("raw_value")
     text = F.when(F.col("vr").isin(V.TEXT_VRS), strip(text_of_bytes(raw)))
     read = (F.col("_action") == "interpret") & (F.coalesce(text, F.lit("")) != "")
-    cut = F.concat(F.substring(raw, 1, policy.max_raw_value), F.lit(bytearray(V.TRUNCATED.encode())))
+    kept = raw
+    if policy.max_raw_value is not None:
+        cut = F.concat(F.substring(raw, 1, policy.max_raw_value), F.lit(bytearray(V.TRUNCATED.encode())))
+        kept = F.when((F.col("_action") == "preserve") & (F.octet_length(raw) > policy.max_raw_value), cut).otherwise(raw)
     return tags.withColumn("_action", action).select(
         "observation_id", creator.alias("creator"), "tag", "vr",
-        F.when(F.col("_action") == "redact", None)
-        .when((F.col("_action") == "preserve") & (F.octet_length(raw) > policy.max_raw_value), cut)
-        .otherwise(raw)
-        .alias("raw_value"),
+        F.when(F.col("_action") != "redact", kept).alias("raw_value"),
         F.when(read, text).alias("interpreted_value"),
         F.when(F.col("_action") == "redact", "redacted").when(read, "interpreted").otherwise("preserved")
         .alias("redaction_status"),

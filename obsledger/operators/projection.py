@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
+from obsledger.functions.paging import limited, page_of
 from obsledger.functions.keys import natural_key
 from obsledger.functions.skew import lookup_join
 
@@ -148,18 +149,18 @@ def projection_filter(
     return projections
 
 
-def projection_query(projections: DataFrame, page: int = 1, per_page: int = 100, after=None, **filters) -> DataFrame:
-    """One page of matching rows by instance key, or the page behind the key `after`."""
+def projection_query(projections: DataFrame, page: int = 1, per_page: int | None = None, after=None, **filters) -> DataFrame:
+    """Matching rows by instance key: all, one page, or the page behind the key `after`."""
     matching = projection_filter(projections, **filters)
     if after is not None:
-        return matching.where(F.col("instance_id") > after).orderBy("instance_id").limit(per_page)
-    return matching.orderBy("instance_id").offset((page - 1) * per_page).limit(per_page)
+        return limited(matching.where(F.col("instance_id") > after).orderBy("instance_id"), per_page)
+    return page_of(matching.orderBy("instance_id"), page, per_page)
 
 
-def projection_count(projections: DataFrame, page: int = 1, per_page: int = 100, **filters) -> DataFrame:
+def projection_count(projections: DataFrame, page: int = 1, per_page: int | None = None, **filters) -> DataFrame:
     """Number of matching rows, and whether any lie behind the page."""
     total = projection_filter(projections, **filters).agg(F.count(F.lit(1)).alias("total_count"))
-    return total.withColumn("has_more", F.col("total_count") > page * per_page)
+    return total.withColumn("has_more", F.lit(False) if per_page is None else F.col("total_count") > page * per_page)
 
 
 @dataclass(frozen=True)
@@ -292,11 +293,11 @@ def reindex_run(
     return plan.unionByName(rebuild).unionByName(verify)
 
 
-def reindex_jobs(jobs: DataFrame, status: str | None = None, limit: int = 100) -> DataFrame:
-    """Jobs of a status, newest first, as a top-`limit` list."""
+def reindex_jobs(jobs: DataFrame, status: str | None = None, limit: int | None = None) -> DataFrame:
+    """Jobs of a status, newest first, all or the first `limit`."""
     if status is not None:
         jobs = jobs.where(F.col("status") == status)
-    return jobs.orderBy(F.desc("created_at"), "job_id").limit(limit)
+    return limited(jobs.orderBy(F.desc("created_at"), "job_id"), limit)
 
 
 def study_rollup(instances: DataFrame) -> DataFrame:
@@ -328,7 +329,7 @@ def study_completeness(rollup: DataFrame, failures: DataFrame, manifests: DataFr
 
 def series_browse(
     observations: DataFrame, modality: str | None = None, study_instance_uid: str | None = None,
-    date_from=None, patient_name: str | None = None, limit: int = 100,
+    date_from=None, patient_name: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Series with their file count and first and last file, newest first."""
     if modality is not None:
@@ -339,13 +340,9 @@ def series_browse(
         observations = observations.where(F.col("observed_at") >= F.lit(date_from).cast("date"))
     if patient_name is not None:
         observations = observations.where(F.contains(F.lower("patient_name"), F.lit(patient_name.lower())))
-    return (
-        observations.groupBy("series_instance_uid")
-        .agg(
-            F.count(F.lit(1)).alias("file_count"),
-            F.min("observed_at").alias("earliest_file"),
-            F.max("observed_at").alias("latest_file"),
-        )
-        .orderBy(F.desc("latest_file"), "series_instance_uid")
-        .limit(limit)
+    series = observations.groupBy("series_instance_uid").agg(
+        F.count(F.lit(1)).alias("file_count"),
+        F.min("observed_at").alias("earliest_file"),
+        F.max("observed_at").alias("latest_file"),
     )
+    return limited(series.orderBy(F.desc("latest_file"), "series_instance_uid"), limit)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
+from obsledger.functions.paging import limited
 from obsledger.functions.skew import arrival_rank
 from obsledger.operators.lifecycle import any_failed
 
@@ -39,8 +40,8 @@ def replay_plan(items: DataFrame, from_stage: str = "all", force: bool = False)
     )
 
 
-def retry_select(items: DataFrame, job_id=None, failed_only: bool = True, max_items: int = 100) -> DataFrame:
-    """The first `max_items` retryable items by id."""
+def retry_select(items: DataFrame, job_id=None, failed_only: bool = True, max_items: int | None = None) -> DataFrame:
+    """Retryable items by id, all or the first `max_items`."""
     picked = items.where(F.col("storage_uri").isNotNull())
     if job_id is not None:
         picked = picked.where(F.col("job_id") == job_id)
@@ -49,7 +50,7 @@ def retry_select(items: DataFrame, job_id=None, failed_only: bool = True, max_it
             "outcome = 'failed' OR last_retryable_stage IS NOT NULL OR parse_status = 'failed' "
             "OR storage_status = 'failed' OR metadata_persistence_status = 'failed'"
         )
-    return picked.orderBy("item_id").limit(max_items)
+    return limited(picked.orderBy("item_id"), max_items)
 
 
 def retry_summary(replays: DataFrame, dry_run: bool = False) -> DataFrame:

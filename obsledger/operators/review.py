@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
+from obsledger.functions.paging import limited, page_of
 from obsledger.functions.text import sanitize_detail, sanitize_path
 from obsledger.operators.lifecycle import all_completed, any_failed
 
@@ -65,16 +66,16 @@ def job_review_items(items: DataFrame) -> DataFrame:
     return items.where(NEEDS_REVIEW).select("job_id", "item_id", "outcome")
 
 
-def job_errors(items: DataFrame, top: int = 5) -> DataFrame:
-    """Most frequent error codes per job."""
+def job_errors(items: DataFrame, top: int | None = None) -> DataFrame:
+    """Error codes per job by frequency, all or the `top` ones."""
     by_frequency = Window.partitionBy("job_id").orderBy(F.desc("n"), "error_code")
-    return (
+    ranked = (
         items.where(F.coalesce("error_code", F.lit("")) != "")
         .groupBy("job_id", "error_code")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("position", F.row_number().over(by_frequency))
-        .where(F.col("position") <= top)
     )
+    return ranked if top is None else ranked.where(F.col("position") <= top)
 
 
 def review_status() -> Column:
@@ -136,10 +137,10 @@ def items_for_review(
     outcome: str | None = None,
     has_failures: bool | None = None,
     page: int = 1,
-    per_page: int = 100,
+    per_page: int | None = None,
     after_item=None,
 ) -> DataFrame:
-    """One page of items by id; every filter applies before the page is cut.
+    """Items by id, all or one page; every filter applies before a page is cut.
 
     `after_item` continues behind the last id of the page before, which stays cheap for
     deep pages where an offset would not.
@@ -156,32 +157,41 @@ def items_for_review(
             "parse_status = 'failed' OR storage_status = 'failed' OR metadata_persistence_status = 'failed'"
         )
     if after_item is not None:
-        return picked.where(F.col("item_id") > after_item).orderBy("item_id").limit(per_page)
-    return picked.orderBy("item_id").offset((page - 1) * per_page).limit(per_page)
+        return limited(picked.where(F.col("item_id") > after_item).orderBy("item_id"), per_page)
+    return page_of(picked.orderBy("item_id"), page, per_page)
 
 
 def findings_view(
-    findings: DataFrame, duplicate_type: str | None = None, observation_id=None, limit: int = 100
+    findings: DataFrame, duplicate_type: str | None = None, observation_id=None, limit: int | None = None
 ) -> DataFrame:
-    """The newest findings, optionally of one type or one observation."""
+    """Findings, newest first, optionally of one type or one observation, or only the first `limit`."""
     if duplicate_type is not None:
         findings = findings.where(F.col("duplicate_type") == duplicate_type)
     if observation_id is not None:
         findings = findings.where(F.col("observation_id") == observation_id)
-    return findings.orderBy(F.desc("observed_at"), "finding_id").limit(limit)
+    return limited(findings.orderBy(F.desc("observed_at"), "finding_id"), limit)
 
 
 def review_report(
-    jobs: DataFrame, items: DataFrame, conflicts: DataFrame, findings: DataFrame, as_of: Column
+    jobs: DataFrame, items: DataFrame, conflicts: DataFrame, findings: DataFrame, as_of: Column, job_id=None, since=None
 ) -> DataFrame:
-    """The review bundle as one dataset of (section, subject, detail) rows."""
-    newest_jobs = job_review(jobs.orderBy(F.desc("created_at"), "job_id").limit(50), items)
-    attention = items_for_review(items, status="needs_attention")
+    """The review bundle as one dataset of (section, subject, detail) rows; every section is complete.
+
+    `job_id` keeps the jobs, items and conflicts of one job, `since` what was created, and the
+    findings observed, from that time on. Conflicts carry no time, findings no job.
+    """
+    if job_id is not None:
+        jobs, items, conflicts = (df.where(F.col("job_id") == job_id) for df in (jobs, items, conflicts))
+    if since is not None:
+        since = F.lit(since).cast("timestamp")
+        jobs, items = (df.where(F.col("created_at").cast("timestamp") >= since) for df in (jobs, items))
+        findings = findings.where(F.col("observed_at").cast("timestamp") >= since)
+    attention = items.where(review_status() == "needs_attention")
     parts = [
         ingestion_summary(jobs, items, as_of).select(
             F.lit("summary").alias("section"), F.col("metric").alias("subject"), F.col("value").cast("string").alias("detail")
         ),
-        newest_jobs.select(
+        job_review(jobs, items).select(
             F.lit("job").alias("section"), F.col("job_id").cast("string").alias("subject"),
             F.concat_ws("/", "status", F.col("total_items").cast("string"), F.col("items_needing_review").cast("string"))
             .alias("detail"),
@@ -190,10 +200,10 @@ def review_report(
             F.lit("item").alias("section"), F.col("item_id").cast("string").alias("subject"),
             F.coalesce("error_code", F.lit("")).alias("detail"),
         ),
-        conflicts.limit(50).select(
+        conflicts.select(
             F.lit("conflict").alias("section"), F.col("series_instance_uid").alias("subject"), F.col("classification").alias("detail")
         ),
-        findings_view(findings, limit=50).select(
+        findings.select(
             F.lit("duplicate").alias("section"), F.col("finding_id").alias("subject"), F.col("duplicate_type").alias("detail")
         ),
     ]

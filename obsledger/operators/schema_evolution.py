@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.functions.paging import limited
+
 
 def _part(version: Column, position: int) -> Column:
     """Numeric part of `x.y.z`, 0 where it is missing."""
@@ -37,21 +39,31 @@ def schema_compat(pairs: DataFrame) -> DataFrame:
 
 
 def stale_by_version(series: DataFrame, compat: DataFrame) -> DataFrame:
-    """Series whose stored version is no longer compatible become stale and need a re-parse.
+    """Current series whose stored version is not compatible become stale and need a re-parse.
 
-    `compat` holds the stored versions against the current one. It is as small as the
-    registry, and adaptive execution broadcasts it only if its measured size allows.
+    `compat` holds the registered versions against the current one; a version it does not have
+    cannot be judged and counts as not compatible, with level `unknown`. Rows that are not
+    current keep their status, reason and mark, so marking twice is marking once. `level` is
+    that of the row's version. `compat` is as small as the registry, and adaptive execution
+    broadcasts it only if its measured size allows.
     """
-    broken = compat.where(F.col("level") != "compatible").select(
+    known = compat.select(
         F.col("old_version").alias("extracted_schema_version"), F.col("level").alias("_level"), F.col("reason").alias("_reason")
     )
-    hit = F.col("_level").isNotNull() & (F.col("projection_status") == "current")
-    return series.join(broken, "extracted_schema_version", "left").select(
-        *[c for c in series.columns if c != "projection_status"],
+    level = F.coalesce("_level", F.lit("unknown"))
+    missing = F.concat(F.lit("Schema definition not found for "), F.coalesce("extracted_schema_version", F.lit("no version")))
+    hit = (F.col("projection_status") == "current") & (level != "compatible")
+    before = {
+        "stale_reason": F.col("stale_reason") if "stale_reason" in series.columns else F.lit(None).cast("string"),
+        "needs_reparse": F.coalesce("needs_reparse", F.lit(False)) if "needs_reparse" in series.columns else F.lit(False),
+    }
+    kept = [c for c in series.columns if c not in ("projection_status", "stale_reason", "needs_reparse", "level")]
+    return series.join(known, "extracted_schema_version", "left").select(
+        *kept,
         F.when(hit, "stale").otherwise(F.col("projection_status")).alias("projection_status"),
-        F.when(hit, F.substring("_reason", 1, 255)).alias("stale_reason"),
-        hit.alias("needs_reparse"),
-        F.when(hit, F.col("_level")).otherwise("compatible").alias("level"),
+        F.when(hit, F.coalesce("_reason", missing)).otherwise(before["stale_reason"]).alias("stale_reason"),
+        F.when(hit, True).otherwise(before["needs_reparse"]).alias("needs_reparse"),
+        level.alias("level"),
     )
 
 
@@ -60,13 +72,11 @@ def stale_counters(marked: DataFrame) -> DataFrame:
     return marked.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 
 
-def reparse_queue(marked: DataFrame, limit: int = 100) -> DataFrame:
-    """Stale series to parse again, CT and MR first, longest stale first."""
-    return (
-        marked.where("needs_reparse AND projection_status = 'stale'")
-        .orderBy(F.when(F.col("modality").isin("CT", "MR"), 1).otherwise(2), "updated_at", "series_instance_uid")
-        .limit(limit)
-    )
+def reparse_queue(marked: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stale series to parse again, CT and MR first, longest stale first; all or the first `limit`."""
+    first = F.when(F.col("modality").isin("CT", "MR"), 1).otherwise(2)
+    queue = marked.where("needs_reparse AND projection_status = 'stale'").orderBy(first, "updated_at", "series_instance_uid")
+    return limited(queue, limit)
 
 
 def reparse_mark(marked: DataFrame, results: DataFrame, new_version: str) -> DataFrame:

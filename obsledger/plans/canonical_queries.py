@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsledger.operators import canonical as C
@@ -167,37 +168,72 @@ def failure_envelope(spark, sf):
     )
 
 
+INVARIANTS = {
+    "v_series_row": """SELECT * FROM (SELECT DISTINCT series_instance_uid, study_instance_uid, l_orderkey % 10 = 0 AS twice FROM v_obs WHERE l_orderkey % 7 <> 3), (SELECT unnest([1, 2]) AS copy)
+        WHERE copy = 1 OR twice""",
+    "v_twice": "SELECT * FROM (SELECT o.*, unnest(CASE WHEN l_partkey % 9 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM v_obs o)",
+}
+
+
 @query("ledger_invariants", """
 SELECT 'instance_not_unique' AS rule, sop_instance_uid AS subject, count(*) AS n FROM v_obs GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'series_not_unique', series_instance_uid, count(*) FROM v_series_row GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'study_not_unique', '1.2.826.0.' || c_custkey // 2, count(*) FROM customer WHERE c_acctbal > 0 GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'instance_without_series', sop_instance_uid, 1 FROM v_obs WHERE series_instance_uid NOT IN (SELECT series_instance_uid FROM v_series_row)
+UNION ALL SELECT 'canonical_of_other_instance', i.sop_instance_uid, 1
+  FROM (SELECT sop_instance_uid, CASE WHEN l_linenumber = 7 THEN min(observation_id) OVER (PARTITION BY l_orderkey) ELSE observation_id END AS p FROM v_obs) i
+  JOIN v_obs o ON o.observation_id = p WHERE o.sop_instance_uid <> i.sop_instance_uid
+UNION ALL SELECT 'finding_not_unique', md5(observation_id), count(*) FROM v_twice GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'edge_not_unique', 'e' || (l_orderkey % 100), count(*) FROM v_obs GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'private_tag_not_unique', observation_id || '||0009', count(*) FROM v_twice GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'attempt_not_unique', concat_ws('|', year(o_orderdate), '1.2.827.' || o_custkey), count(*) FROM orders GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'idempotency_key_not_unique', concat_ws('|', o_custkey, o_orderpriority), count(*) FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'item_fingerprint_not_unique', whole_file_sha256, count(*) FROM v_obs GROUP BY ALL HAVING count(*) > 1
 UNION ALL SELECT 'several_canonical_observations', sop_instance_uid, count(*) FROM v_obs WHERE has_pixel_data GROUP BY ALL HAVING count(*) > 1
-UNION ALL SELECT 'series_without_study', series_instance_uid, 1 FROM (SELECT DISTINCT series_instance_uid, study_instance_uid FROM v_obs)
-  WHERE study_instance_uid NOT IN (SELECT '1.2.826.0.' || c_custkey FROM customer WHERE c_acctbal > 0)
-UNION ALL SELECT 'finding_without_match', observation_id, 1 FROM v_obs WHERE pixel_digest IS NULL
+UNION ALL SELECT 'series_without_study', series_instance_uid, 1 FROM v_series_row
+  WHERE study_instance_uid NOT IN (SELECT '1.2.826.0.' || c_custkey // 2 FROM customer WHERE c_acctbal > 0)
+UNION ALL SELECT 'finding_without_match', observation_id, 1 FROM v_twice WHERE pixel_digest IS NULL
 UNION ALL SELECT 'attempt_of_other_job', observation_id, 1 FROM v_obs o
-  WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = o.l_orderkey AND year(o_orderdate) = o.job_id)""")
+  WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = o.l_orderkey AND year(o_orderdate) = o.job_id)""", INVARIANTS)
 def ledger_invariants(spark, sf):
+    """A ledger in which every rule is broken somewhere."""
     obs = X.observations(spark, sf)
+    orders = X.table(spark, sf, "orders")
     studies = X.table(spark, sf, "customer").where("c_acctbal > 0").select(
-        F.concat(F.lit("1.2.826.0."), F.col("c_custkey").cast("string")).alias("study_instance_uid")
+        F.concat(F.lit("1.2.826.0."), F.expr("CAST(c_custkey div 2 AS STRING)")).alias("study_instance_uid")
     )
-    attempts = X.table(spark, sf, "orders").select(
+    attempts = orders.select(
         F.concat(F.lit("1.2.826."), F.col("o_orderkey").cast("string")).alias("attempt_id"),
         F.year("o_orderdate").alias("job_id"),
+        F.concat(F.lit("1.2.827."), F.col("o_custkey").cast("string")).alias("series_instance_uid"),
     )
+    series = obs.where("l_orderkey % 7 <> 3").select("series_instance_uid", "study_instance_uid", (F.col("l_orderkey") % 10 == 0).alias("twice")).distinct()
+    series = series.unionByName(series.where("twice")).drop("twice")
+    twice = obs.unionByName(obs.where("l_partkey % 9 = 0"))
+    first = F.min("observation_id").over(Window.partitionBy("l_orderkey"))
     return C.ledger_invariants(
-        instances=obs,
-        series=obs.select("series_instance_uid", "study_instance_uid").distinct(),
+        instances=obs.withColumn("canonical_observation_id", F.when(F.col("l_linenumber") == 7, first).otherwise(F.col("observation_id"))),
+        series=series,
         studies=studies,
         observations=obs.withColumnRenamed("has_pixel_data", "is_canonical"),
-        findings=obs.select(
-            "observation_id", F.col("pixel_digest").alias("matched_observation_id"), F.lit(None).alias("matched_instance_uid")
+        findings=twice.select(
+            F.md5("observation_id").alias("finding_id"), "observation_id", F.col("pixel_digest").alias("matched_observation_id"),
+            F.lit(None).alias("matched_instance_uid"),
+        ),
+        items=obs.select(
+            F.col("observation_id").alias("item_id"), F.col("series_instance_uid").alias("attempt_id"), "job_id",
+            F.col("whole_file_sha256").alias("item_fingerprint"),
         ),
-        items=obs.select(F.col("observation_id").alias("item_id"), F.col("series_instance_uid").alias("attempt_id"), "job_id"),
         attempts=attempts,
+        edges=obs.select(F.concat(F.lit("e"), (F.col("l_orderkey") % 100).cast("string")).alias("edge_id")),
+        private_tags=twice.select("observation_id", F.lit(None).cast("string").alias("creator"), F.lit("0009").alias("tag")),
+        requests=orders.select(
+            F.col("o_custkey").alias("actor_id"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("idempotency_key")
+        ),
     )
 
 
-COMPARED = ["Manufacturer", "PatientID", "SOPClassUID", "SeriesDescription", "TransferSyntaxUID"]
+COMPARED = sorted(X.TAG_SQL)
 
 
 @query("observation_diff", f"""
@@ -208,8 +244,9 @@ SELECT b.observation_id AS base_observation_id, o.observation_id AS compare_obse
 FROM v_full o JOIN v_full b ON b.sop_instance_uid = o.sop_instance_uid AND b.is_canonical
 WHERE NOT o.is_canonical""", {**FLAGGED, "v_full": "SELECT * FROM v_flagged JOIN v_tags USING (observation_id)"})
 def observation_diff(spark, sf):
-    tags = X.tags(spark, sf).select("observation_id", *COMPARED)
-    return C.observation_diff(flagged(spark, sf).join(tags, "observation_id"), COMPARED)
+    tags = X.tags(spark, sf)
+    tags = tags.select("observation_id", X.tag_map(tags).alias("tags"))
+    return C.observation_diff(flagged(spark, sf).join(tags, "observation_id"))
 
 
 @query("comments_active", """
@@ -256,11 +293,15 @@ def content_groups(spark, sf):
     return D.content_groups(X.observations(spark, sf), "pixel_digest")
 
 
-@query("findings_upsert", f"SELECT {FINDING_COLUMNS} FROM v_finding", FLAGGED, dates=["observed_at"])
+@query("findings_upsert", f"""
+SELECT {FINDING_COLUMNS} FROM (SELECT * REPLACE ('accepted' AS resolution_status) FROM v_finding WHERE duplicate_type = 'identity')
+UNION ALL SELECT {FINDING_COLUMNS} FROM (SELECT * REPLACE (md5(finding_id) AS finding_id, 'accepted' AS resolution_status) FROM v_finding WHERE duplicate_type = 'identity')
+UNION ALL SELECT {FINDING_COLUMNS} FROM v_finding WHERE duplicate_type <> 'identity'""", FLAGGED, dates=["observed_at"])
 def findings_upsert(spark, sf):
-    stored, _ = stored_and_new(spark, sf)
-    held = D.identity_duplicates(stored)
+    """Stored findings that someone has settled, among them some that are not found any more."""
     found = all_findings(spark, sf)
+    settled = found.where("duplicate_type = 'identity'").withColumn("resolution_status", F.lit("accepted"))
+    held = settled.unionByName(settled.withColumn("finding_id", F.md5("finding_id")))
     return D.findings_upsert(held, found.unionByName(found))
 
 

@@ -42,16 +42,20 @@ MAKERS = [
 STAGES = ["scan", "parse", "storage", "metadata_persistence", "validation", "binding", "indexing"]
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a table that lies in fewer files than there are cores, dealt out over the cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """A table, a file or a folder of files, as a stream; all that is there in one batch unless told otherwise.
 
-
-def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
-    """A table as a stream of its files."""
-    reader = spark.readStream.schema(table(spark, sf_dir, name).schema).option("maxFilesPerTrigger", files_per_batch)
-    return reader.option("pathGlobFilter", f"{name}*.parquet").parquet(sf_dir)
+    A table that is not there is an error.
+    """
+    location = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    if status.isDirectory():
+        return reader.parquet(location)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)  # a stream's path is a folder
 
 
 def observations(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:

@@ -91,10 +91,16 @@ def old_resolved(spark, sf):
 
 
 @query("edges_upsert", f"""
-SELECT {EDGE_ID} AS edge_id, from_sop, relationship, to_study, to_series, to_sop, frame_number, status, resolved_sop FROM v_resolved""", GRAPH)
+SELECT {EDGE_ID} AS edge_id, * FROM (
+  SELECT from_sop, relationship, to_study, to_series, to_sop, frame_number, status, resolved_sop FROM v_resolved WHERE relationship = 'waveform'
+  UNION ALL SELECT from_sop, relationship, to_study, to_series, to_sop, frame_number, status, resolved_sop FROM v_old_resolved WHERE relationship <> 'waveform'
+  UNION ALL SELECT 'gone.' || from_sop, relationship, to_study, to_series, to_sop, frame_number, status, resolved_sop FROM v_old_resolved)""", GRAPH)
 def edges_upsert(spark, sf):
-    new = resolved(spark, sf)
-    return R.edges_upsert(old_resolved(spark, sf), new.unionByName(new))
+    """Edges of one kind arrive again, resolved against more instances; others are stored only."""
+    new = resolved(spark, sf).where("relationship = 'waveform'")
+    old = old_resolved(spark, sf)
+    stored = old.unionByName(old.withColumn("from_sop", F.concat(F.lit("gone."), "from_sop")))
+    return R.edges_upsert(stored, new.unionByName(new))
 
 
 @query("edges_of_instance", """
@@ -109,7 +115,7 @@ def edges_of_instance(spark, sf):
 SELECT from_sop, relationship, to_study, to_series, to_sop, frame_number, created_on FROM v_resolved WHERE status = 'unresolved'
 ORDER BY created_on, from_sop, relationship, to_study NULLS FIRST, to_series NULLS FIRST, to_sop NULLS FIRST, frame_number NULLS FIRST LIMIT 100""", GRAPH, dates=["created_on"])
 def edges_unresolved(spark, sf):
-    return R.edges_unresolved(resolved(spark, sf)).select(*R.EDGE, "created_on")
+    return R.edges_unresolved(resolved(spark, sf), 100).select(*R.EDGE, "created_on")
 
 
 @query("edges_reresolve", """
@@ -261,7 +267,7 @@ def conflicts_of_job(spark, sf):
 SELECT job_id, series_instance_uid, classification, severity FROM v_conflict WHERE status = 'open'
 ORDER BY CASE severity WHEN 'critical' THEN 1 WHEN 'warning' THEN 2 WHEN 'info' THEN 3 ELSE 4 END, job_id DESC, series_instance_uid LIMIT 100""", CONFLICT)
 def conflict_queue(spark, sf):
-    return K.conflict_queue(summaries(spark, sf)).select("job_id", "series_instance_uid", "classification", "severity")
+    return K.conflict_queue(summaries(spark, sf), 100).select("job_id", "series_instance_uid", "classification", "severity")
 
 
 @query("conflict_counts", """

@@ -31,9 +31,9 @@ REVIEW_STATUS = f"""CASE WHEN outcome = 'quarantined' THEN 'quarantined' WHEN ou
 
 
 @query("item_fingerprint", """
-SELECT sha256(concat_ws(':', job_id, source_path, CAST(byte_size AS VARCHAR), whole_file_sha256)) AS item_fingerprint, item_id FROM v_item""")
+SELECT sha256(job_id || ':' || CASE item_id % 2 WHEN 0 THEN 'local_folder' ELSE 'curated_manifest' END || ':' || source_path || ':' || byte_size) AS item_fingerprint, item_id FROM v_item""")
 def item_fingerprint(spark, sf):
-    items = X.items(spark, sf)
+    items = X.items(spark, sf).withColumn("source_kind", X.pick(F.col("item_id") % 2, ["local_folder", "curated_manifest"]))
     return L.fingerprint_items(items.unionByName(items.withColumn("item_id", F.col("item_id") + 1_000_000_000)))
 
 
@@ -210,7 +210,7 @@ SELECT job_id, error_code, n, CAST(position AS INTEGER) AS position FROM (
   SELECT job_id, error_code, count(*) AS n, row_number() OVER (PARTITION BY job_id ORDER BY count(*) DESC, error_code) AS position
   FROM v_item WHERE coalesce(error_code, '') <> '' GROUP BY job_id, error_code) WHERE position <= 5""")
 def job_errors(spark, sf):
-    return R.job_errors(X.items(spark, sf))
+    return R.job_errors(X.items(spark, sf), 5)
 
 
 @query("item_review", f"""
@@ -267,22 +267,21 @@ def items_for_review(spark, sf):
 SELECT finding_id, observation_id, matched_observation_id, observed_at FROM v_finding WHERE duplicate_type = 'content'
 ORDER BY observed_at DESC, finding_id LIMIT 100""", FLAGGED, dates=["observed_at"])
 def findings_view(spark, sf):
-    newest = R.findings_view(pixel_findings(spark, sf), "content")
+    newest = R.findings_view(pixel_findings(spark, sf), "content", limit=100)
     return newest.select("finding_id", "observation_id", "matched_observation_id", "observed_at")
 
 
 @query("review_report", f"""
 SELECT 'summary' AS section, metric AS subject, CAST(value AS VARCHAR) AS detail FROM ({SUMMARY_SQL})
 UNION ALL SELECT 'job', job_id, concat_ws('/', status, CAST(total_items AS VARCHAR), CAST(items_needing_review AS VARCHAR))
-  FROM (SELECT r.* FROM v_job_review r JOIN v_job j USING (job_id) ORDER BY j.created_at DESC, job_id LIMIT 50)
-UNION ALL SELECT * FROM (SELECT 'item', CAST(item_id AS VARCHAR), coalesce(error_code, '') FROM v_item WHERE {REVIEW_STATUS} = 'needs_attention' ORDER BY item_id LIMIT 100)
-UNION ALL SELECT 'conflict', series_instance_uid, classification FROM (SELECT * FROM v_conflict WHERE status = 'open'
-  ORDER BY CASE severity WHEN 'critical' THEN 1 WHEN 'warning' THEN 2 ELSE 3 END, job_id DESC, series_instance_uid LIMIT 50)
-UNION ALL SELECT 'duplicate', finding_id, duplicate_type FROM (SELECT * FROM v_finding WHERE duplicate_type = 'content' ORDER BY observed_at DESC, finding_id LIMIT 50)""",
+  FROM (SELECT r.* FROM v_job_review r)
+UNION ALL SELECT * FROM (SELECT 'item', CAST(item_id AS VARCHAR), coalesce(error_code, '') FROM v_item WHERE {REVIEW_STATUS} = 'needs_attention')
+UNION ALL SELECT 'conflict', series_instance_uid, classification FROM v_conflict WHERE status = 'open'
+UNION ALL SELECT 'duplicate', finding_id, duplicate_type FROM v_finding WHERE duplicate_type = 'content'""",
 {**JOB_REVIEW, **CONFLICT, **FLAGGED})
 def review_report(spark, sf):
     return R.review_report(
-        X.jobs(spark, sf), X.items(spark, sf), conflict_queue(summaries(spark, sf), 50), pixel_findings(spark, sf), as_of()
+        X.jobs(spark, sf), X.items(spark, sf), conflict_queue(summaries(spark, sf)), pixel_findings(spark, sf), as_of()
     )
 
 
@@ -449,7 +448,7 @@ def replay_plan(spark, sf):
 SELECT item_id, job_id, storage_uri FROM v_item WHERE storage_uri IS NOT NULL AND (outcome = 'failed' OR last_retryable_stage IS NOT NULL
   OR parse_status = 'failed' OR storage_status = 'failed' OR metadata_persistence_status = 'failed') ORDER BY item_id LIMIT 100""")
 def retry_select(spark, sf):
-    return P.retry_select(X.items(spark, sf)).select("item_id", "job_id", "storage_uri")
+    return P.retry_select(X.items(spark, sf), max_items=100).select("item_id", "job_id", "storage_uri")
 
 
 def replays(spark, sf):

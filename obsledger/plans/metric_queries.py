@@ -88,6 +88,12 @@ def index_lag(spark, sf):
     return M.histogram(M.index_lag(X.events(spark, sf)), [], "lag_seconds", V.LAG_BUCKETS_S)
 
 
+@query("recovery_histogram", _histogram_sql("v_replayed", "duration_ms", V.RECOVERY_BUCKETS_MS), {
+    "v_replayed": "SELECT duration_ms FROM v_event WHERE status IN ('completed', 'failed')"})
+def recovery_histogram(spark, sf):
+    return M.recovery_histogram(replays(spark, sf))
+
+
 @query("recovery_time", """
 SELECT CASE WHEN status = 'completed' THEN 'success' ELSE 'failed' END AS status, count(*) AS n,
        CAST(sum(CAST(duration_ms AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS mean_ms

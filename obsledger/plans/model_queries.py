@@ -70,7 +70,7 @@ def canonical_instances(spark, sf, obs=None):
 
 def projections(spark, sf):
     """The read model over observations that are written first: a dozen branches read them."""
-    lines = X.spread(X.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = X.table(spark, sf, "lineitem")
     obs = written(X.observations(spark, sf, lines), "observations")
     return P.projection_build(
         canonical_instances(spark, sf, obs).drop("whole_file_sha256", "observed_at"),
@@ -124,10 +124,17 @@ def projection_stale(spark, sf):
     return P.projection_stale(new_model(spark, sf), held_model(spark, sf)).select("instance_id", "sop_instance_uid", "state")
 
 
-@query("projection_merge", "SELECT instance_id, sop_instance_uid, projection_version, projection_source_checksum FROM v_new", STORED_MODEL)
+@query("projection_merge", """
+SELECT instance_id, study_instance_uid, series_instance_uid, sop_instance_uid, CASE state WHEN 'current' THEN 'held' ELSE 'fresh' END AS modality, projection_version, projection_source_checksum FROM v_state
+UNION ALL SELECT md5('gone' || instance_id), study_instance_uid, series_instance_uid, sop_instance_uid, 'held', projection_version, projection_source_checksum FROM v_held""", STORED_MODEL)
 def projection_merge(spark, sf):
-    merged = P.projection_merge(new_model(spark, sf), held_model(spark, sf))
-    return merged.select("instance_id", "sop_instance_uid", "projection_version", "projection_source_checksum")
+    """Which side a row comes from shows in a column; the store also holds rows that are not built any more."""
+    held = held_model(spark, sf).withColumn("modality", F.lit("held"))
+    held = held.unionByName(held.withColumn("instance_id", F.md5(F.concat(F.lit("gone"), "instance_id"))))
+    merged = P.projection_merge(new_model(spark, sf).withColumn("modality", F.lit("fresh")), held)
+    return merged.select(
+        "instance_id", "study_instance_uid", "series_instance_uid", "sop_instance_uid", "modality", "projection_version", "projection_source_checksum"
+    )
 
 
 FILTERED = "modality = 'MR' AND study_date >= DATE '1996-01-01' AND study_date <= DATE '1997-12-31' AND binding_status = 'pending'"
@@ -140,13 +147,13 @@ def filters():
 @query("projection_query", f"""
 SELECT instance_id, sop_instance_uid, study_date FROM v_projection WHERE {FILTERED} ORDER BY instance_id LIMIT 100 OFFSET 100""", MODEL, dates=["study_date"])
 def projection_query(spark, sf):
-    page = P.projection_query(projections(spark, sf), page=2, **filters())
+    page = P.projection_query(projections(spark, sf), page=2, per_page=100, **filters())
     return page.select("instance_id", "sop_instance_uid", "study_date")
 
 
 @query("projection_count", f"SELECT count(*) AS total_count, count(*) > 200 AS has_more FROM v_projection WHERE {FILTERED}", MODEL)
 def projection_count(spark, sf):
-    return P.projection_count(projections(spark, sf), page=2, **filters())
+    return P.projection_count(projections(spark, sf), page=2, per_page=100, **filters())
 
 
 SCOPE = P.Scope(from_date="1996-06-01", to_date="2000-06-30")
@@ -230,7 +237,7 @@ SELECT series_instance_uid, count(*) AS file_count, min(observed_at) AS earliest
 WHERE modality = 'CT' AND observed_at >= DATE '1997-01-01' AND lower(patient_name) LIKE '%customer^1%'
 GROUP BY 1 ORDER BY latest_file DESC, series_instance_uid LIMIT 100""", dates=["earliest_file", "latest_file"])
 def series_browse(spark, sf):
-    return P.series_browse(X.observations(spark, sf), modality="CT", date_from="1997-01-01", patient_name="customer^1")
+    return P.series_browse(X.observations(spark, sf), modality="CT", date_from="1997-01-01", patient_name="customer^1", limit=100)
 
 
 # --- schema evolution --------------------------------------------------------------------
@@ -249,10 +256,14 @@ SCHEMA = {
                WHEN c.n % 5 > o.n % 5 THEN 'Patch version change only' ELSE 'Same version' END AS reason
         FROM v_registry o JOIN v_registry c ON c.n = {CURRENT}""",
     "v_series_row": """SELECT '1.2.826.' || o_orderkey AS series_instance_uid, ['CT', 'MR', 'DX', 'US', 'PT'][o_orderkey % 5 + 1] AS modality,
-        CAST(o_orderdate AS DATE) AS updated_at, o_orderkey % 25 AS n FROM orders""",
-    "v_marked": """SELECT series_instance_uid, modality, updated_at, version AS extracted_schema_version, CASE WHEN level = 'compatible' THEN 'current' ELSE 'stale' END AS projection_status,
-        CASE WHEN level <> 'compatible' THEN reason END AS stale_reason, level <> 'compatible' AS needs_reparse, level
-        FROM v_series_row JOIN v_registry USING (n) JOIN v_compat ON old_version = version""",
+        CAST(o_orderdate AS DATE) AS updated_at, CASE WHEN o_orderkey % 50 <> 49 THEN version ELSE '9.9.' || o_orderkey % 3 END AS extracted_schema_version,
+        ['current', 'stale', 'reparse_failed', 'current', 'current', 'current', 'current'][o_orderkey % 7 + 1] AS status_before,
+        CASE o_orderkey % 7 WHEN 1 THEN 'schema_updated' WHEN 2 THEN 'reparse_error' END AS reason_before, o_orderkey % 7 IN (1, 2) AS mark_before
+        FROM orders JOIN v_registry ON n = o_orderkey % 25""",
+    "v_marked": """SELECT series_instance_uid, modality, updated_at, extracted_schema_version, CASE WHEN hit THEN 'stale' ELSE status_before END AS projection_status,
+        CASE WHEN hit THEN coalesce(reason, 'Schema definition not found for ' || extracted_schema_version) ELSE reason_before END AS stale_reason, hit OR mark_before AS needs_reparse, level
+        FROM (SELECT s.*, reason, coalesce(level, 'unknown') AS level, status_before = 'current' AND coalesce(level, 'unknown') <> 'compatible' AS hit
+              FROM v_series_row s LEFT JOIN v_compat ON old_version = extracted_schema_version)""",
 }
 
 
@@ -285,10 +296,14 @@ def marked(spark, sf):
         .select(
             F.concat(F.lit("1.2.826."), n.cast("string")).alias("series_instance_uid"),
             X.pick(n % 5, X.MODALITIES).alias("modality"), F.col("o_orderdate").cast("date").alias("updated_at"),
-            F.lit("current").alias("projection_status"), (n % 25).cast("int").alias("n_nationkey"),
+            X.pick(n % 7, ["current", "stale", "reparse_failed", "current", "current", "current", "current"]).alias("projection_status"),
+            F.when(n % 7 == 1, "schema_updated").when(n % 7 == 2, "reparse_error").alias("stale_reason"),
+            (n % 7).isin(1, 2).alias("needs_reparse"), (n % 25).cast("int").alias("n_nationkey"),
+            F.when(n % 50 == 49, F.concat(F.lit("9.9."), (n % 3).cast("string"))).alias("_unregistered"),
         )
         .join(versions, "n_nationkey")
-        .drop("n_nationkey")
+        .withColumn("extracted_schema_version", F.coalesce("_unregistered", "extracted_schema_version"))
+        .drop("n_nationkey", "_unregistered")
     )
     return E.stale_by_version(series, compat(spark, sf))
 
@@ -309,10 +324,10 @@ def stale_counters(spark, sf):
 
 
 @query("reparse_queue", """
-SELECT series_instance_uid, modality, updated_at, extracted_schema_version FROM v_marked WHERE needs_reparse
+SELECT series_instance_uid, modality, updated_at, extracted_schema_version FROM v_marked WHERE needs_reparse AND projection_status = 'stale'
 ORDER BY CASE WHEN modality IN ('CT', 'MR') THEN 1 ELSE 2 END, updated_at, series_instance_uid LIMIT 100""", SCHEMA, dates=["updated_at"])
 def reparse_queue(spark, sf):
-    return E.reparse_queue(marked(spark, sf)).select("series_instance_uid", "modality", "updated_at", "extracted_schema_version")
+    return E.reparse_queue(marked(spark, sf), 100).select("series_instance_uid", "modality", "updated_at", "extracted_schema_version")
 
 
 REPARSED = {

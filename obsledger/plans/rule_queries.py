@@ -62,17 +62,21 @@ SELECT observation_id, uid, regexp_matches(uid, '^[0-9]+(\\.[0-9]+)+$') AS dotte
          CASE WHEN NOT regexp_matches(uid, '^[0-9]+(\\.[0-9]+)*$') THEN 'invalid_characters' END, CASE WHEN uid LIKE '%..%' THEN 'consecutive_dots' END,
          CASE WHEN uid LIKE '.%' THEN 'starts_with_dot' END, CASE WHEN uid LIKE '%.' THEN 'ends_with_dot' END) END AS errors FROM v_uid""", UIDS)
 def uid_validation(spark, sf):
+    return X.observations(spark, sf).select("observation_id", broken_uid().alias("uid")).select(
+        "observation_id", "uid", rules.is_dotted_number(F.col("uid")).alias("dotted_number"),
+        F.array_join(rules.uid_errors(F.col("uid")), ",").alias("errors"),
+    )
+
+
+def broken_uid():
+    """The instance UID, in most rows damaged."""
     sop, kind = F.col("sop_instance_uid"), F.col("l_partkey") % 8
-    uid = (
+    return (
         F.when(kind == 0, F.concat(sop, F.lit("."))).when(kind == 1, F.concat(F.lit("."), sop))
         .when(kind == 2, F.replace(sop, F.lit(".826."), F.lit("..826."))).when(kind == 3, F.repeat(sop, 5))
         .when(kind == 4, F.concat(F.lit("x"), sop)).when(kind == 5, "").when(kind == 6, F.col("l_partkey").cast("string"))
         .otherwise(sop)
     )
-    return X.observations(spark, sf).select("observation_id", uid.alias("uid")).select(
-        "observation_id", "uid", rules.is_dotted_number(F.col("uid")).alias("dotted_number"),
-        F.array_join(rules.uid_errors(F.col("uid")), ",").alias("errors"),
-    )
 
 
 @query("path_validation", r"""
@@ -168,10 +172,10 @@ def vendor_normalize(spark, sf):
 # --- private tags and sensitive fields ---------------------------------------------------
 
 POLICY = T.PrivateTagPolicy(
-    redact=("src0", "src1"), interpret=("src1", "src2", "src3", "src4", "src5", "src6"), preserve=("src2", "src9"), max_raw_value=2048
+    redact=("src0", "src1"), interpret=("src1", "src2", "src3", "src4", "src5", "src6"), preserve=("src2", "src9")
 )
 
-RAW = "CASE WHEN action = 'preserve' AND strlen(raw_text) > 2048 THEN unhex(substr(hex(encode(raw_text)), 1, 4096) || hex('<truncated>')) WHEN action <> 'redact' THEN encode(raw_text) END"
+RAW = "CASE WHEN action <> 'redact' THEN encode(raw_text) END"
 TEXT = f"regexp_replace(raw_text, '^{V.WHITESPACE}+|{V.WHITESPACE}+$', '', 'g')"
 PRIVATE = {
     "v_policy": f"""SELECT observation_id, creator, tag, vr, {RAW} AS raw_value,
@@ -263,14 +267,38 @@ def safe_int(spark, sf):
     )
 
 
-JSON_TAGS = ["PatientID", "StudyDate", "StudyTime", "Modality"]
+JSON_TAGS = sorted([*X.TAG_SQL, "AcquisitionDate", "IconImage"])
+
+
+def _json_sql(names) -> str:
+    """Members of the tags that are there, as text, in order of their names."""
+    members = [f"CASE WHEN \"{n}\" IS NOT NULL THEN '\"{n}\":' || CAST(to_json(\"{n}\") AS VARCHAR) END" for n in names]
+    return f"concat_ws(',', {', '.join(members)})"
 
 
 @query("tag_json_serialise", f"""
 SELECT observation_id, CASE WHEN body <> '' THEN '{{' || body || '}}' END AS tag_json
-FROM (SELECT observation_id, concat_ws(',', {", ".join(f"CASE WHEN {chr(34)}{n}{chr(34)} IS NOT NULL THEN '{chr(34)}{n}{chr(34)}:{chr(34)}' || {chr(34)}{n}{chr(34)} || '{chr(34)}' END" for n in JSON_TAGS)}) AS body FROM v_tags)""")
+FROM (SELECT observation_id, {_json_sql(JSON_TAGS)} AS body
+      FROM (SELECT t.*, CAST(observed_at AS VARCHAR) AS "AcquisitionDate", CASE WHEN l_partkey % 2 = 0 THEN 'A' || chr(65533) || v_obs.modality END AS "IconImage"
+            FROM v_tags t JOIN v_obs USING (observation_id)))""")
 def tag_json_serialise(spark, sf):
-    return with_tags(spark, sf, JSON_TAGS).select("observation_id", rules.tag_json(F.col("tags")).alias("tag_json"))
+    """All tags, one of them bytes that are no valid text, one a date."""
+    obs = X.observations(spark, sf).select("observation_id", "observed_at", "l_partkey", "modality")
+    icon = F.concat(F.lit(bytearray(b"A\xff")), F.col("modality").cast("binary"))
+    raw = F.when(F.col("l_partkey") % 2 == 0, F.create_map(F.lit("IconImage"), icon))
+    dates = F.create_map(F.lit("AcquisitionDate"), F.col("observed_at"))
+    return with_tags(spark, sf).join(obs, "observation_id").select("observation_id", rules.tag_json(F.col("tags"), raw, dates).alias("tag_json"))
+
+
+@query("header_uid_validation", """
+SELECT observation_id, concat_ws('; ', CASE WHEN bad THEN 'Invalid UID format in SOPInstanceUID: ' || uid END, CASE WHEN l_partkey % 5 = 0 THEN 'Invalid UID format in FrameOfReferenceUID: ' || 'frame' END) AS errors
+FROM (SELECT *, uid <> '' AND NOT regexp_matches(uid, '^[0-9]+(\\.[0-9]+)+$') AS bad FROM v_uid JOIN v_obs USING (observation_id))""", UIDS)
+def header_uid_validation(spark, sf):
+    tags = F.create_map(
+        F.lit("SOPInstanceUID"), broken_uid(), F.lit("StudyInstanceUID"), F.col("study_instance_uid"),
+        F.lit("FrameOfReferenceUID"), F.when(F.col("l_partkey") % 5 == 0, "frame"),
+    )
+    return X.observations(spark, sf).select("observation_id", F.array_join(rules.header_uid_errors(tags), "; ").alias("errors"))
 
 
 # --- paths -------------------------------------------------------------------------------
@@ -278,13 +306,15 @@ def tag_json_serialise(spark, sf):
 
 @query("object_key", """
 SELECT item_id, 'dicom/' || substr(whole_file_sha256, 1, 2) || '/' || substr(whole_file_sha256, 3) || '/' || item_id || '.dcm' AS object_key,
-       substr(error_detail, 1, 1024) AS meta_detail FROM v_item""")
+       error_detail AS meta_detail, coalesce(length(error_detail) > 1024, false) AS meta_too_long FROM v_item""")
 def object_key(spark, sf):
-    meta = H.object_metadata(F.create_map(F.lit("detail"), F.col("error_detail")))
+    detail = F.create_map(F.lit("detail"), F.col("error_detail"))
+    meta = H.object_metadata(detail)
     return X.items(spark, sf).select(
         "item_id", H.object_key(F.col("whole_file_sha256"), F.when(F.col("item_id") % 2 == 0, F.col("source_path"))
                                 .otherwise(F.regexp_replace("source_path", r"\.dcm$", ""))).alias("object_key"),
         meta["x-amz-meta-detail"].alias("meta_detail"),
+        H.metadata_too_long(detail).alias("meta_too_long"),
     )
 
 

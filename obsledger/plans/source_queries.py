@@ -17,22 +17,30 @@ from obsledger.streaming import ingest, metrics
 # --- files -------------------------------------------------------------------------------
 
 
-@query("list_files")
+@query("list_files", """
+SELECT path, substr(path, 7) AS relative_path, n AS byte_size FROM (
+  SELECT CASE page_id % 4 WHEN 0 THEN '/data/_p' WHEN 1 THEN '/data/.h/p' WHEN 2 THEN '/database/p' ELSE '/data/a/b/p' END || page_id AS path, length(html) AS n FROM pages)
+WHERE path LIKE '/data/%'""")
 def list_files(spark, sf):
-    """Files of the given tables themselves; their sizes are not known to SQL."""
-    return files.list_files(spark, sf).select("relative_path", "byte_size")
+    """An inventory with hidden files and folders, and a neighbour whose name begins alike."""
+    front = X.pick(F.col("page_id") % 4, ["/data/_p", "/data/.h/p", "/database/p", "/data/a/b/p"])
+    inventory = X.table(spark, sf, "pages").select(
+        F.concat(front, F.col("page_id").cast("string")).alias("path"), F.length("html").cast("bigint").alias("byte_size"),
+        F.lit(None).cast("timestamp").alias("modified_at"),
+    )
+    return files.list_files(inventory, "/data").select("path", "relative_path", "byte_size")
 
 
 SCAN_ITEMS, SCAN_BYTES = 200, 9000
 
 
 @query("scan_files", f"""
-WITH l AS (SELECT url || '#' || page_id AS relative_path, length(html) AS byte_size FROM pages),
-i AS (SELECT * FROM l WHERE byte_size <= {SCAN_BYTES} ORDER BY relative_path LIMIT {SCAN_ITEMS}),
-e AS (SELECT CASE WHEN count(*) >= {SCAN_ITEMS} THEN max(relative_path) END AS last FROM i)
+WITH l AS (SELECT *, string_split(relative_path, '/') AS parts FROM (SELECT url || '#' || page_id AS relative_path, length(html) AS byte_size FROM pages)),
+i AS (SELECT * FROM l WHERE byte_size <= {SCAN_BYTES} ORDER BY parts LIMIT {SCAN_ITEMS}),
+e AS (SELECT CASE WHEN count(*) >= {SCAN_ITEMS} THEN max(parts) END AS last FROM i)
 SELECT relative_path, byte_size, NULL AS error_code, NULL AS error_detail FROM i
-UNION ALL SELECT relative_path, byte_size, 'FileTooLarge', CAST(byte_size AS VARCHAR) FROM l, e WHERE byte_size > {SCAN_BYTES} AND (last IS NULL OR relative_path < last)
-UNION ALL SELECT * FROM (SELECT DISTINCT '', NULL, 'MaxItemsExceeded', '{SCAN_ITEMS}' FROM l, e WHERE relative_path > last)""")
+UNION ALL SELECT relative_path, byte_size, 'FileTooLarge', CAST(byte_size AS VARCHAR) FROM l, e WHERE byte_size > {SCAN_BYTES} AND (last IS NULL OR parts < last)
+UNION ALL SELECT * FROM (SELECT DISTINCT '', NULL, 'MaxItemsExceeded', '{SCAN_ITEMS}' FROM l, e WHERE parts > last)""")
 def scan_files(spark, sf):
     listing = X.table(spark, sf, "pages").select(
         F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("relative_path"),
@@ -237,14 +245,19 @@ def stream_metrics(spark, sf):
 
 
 @query("stream_dedupe", """
-SELECT sha256(concat_ws(':', CAST(job_id AS VARCHAR), 'k' || item_id, '1')) AS item_fingerprint, job_id, item_id FROM v_event GROUP BY ALL""")
+SELECT sha256(job_id || ':local_folder:k' || item_id || ':1') AS item_fingerprint, job_id, item_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_at
+FROM (SELECT *, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 1 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY job_id, item_id ORDER BY ts, event_id) AS run
+      FROM (SELECT *, lag(ts) OVER (PARTITION BY job_id, item_id ORDER BY ts, event_id) AS before FROM v_event))
+GROUP BY job_id, item_id, run HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM v_event)""")
 def stream_dedupe(spark, sf):
+    """Runs of equal items that are closed: an hour's gap, and an hour for late events."""
     folder = run_folder(spark, "stream_dedupe")
     events = X.events(spark, sf, X.table_stream(spark, sf, "events"))
     items = events.select(
         "job_id", "item_id", F.concat(F.lit("k"), F.col("item_id").cast("string")).alias("source_path"), F.lit(1).alias("byte_size"),
-        F.lit(None).cast("string").alias("whole_file_sha256"), F.col("ts").cast("timestamp").alias("ts"),
+        F.lit("local_folder").alias("source_kind"), F.col("ts").cast("timestamp").alias("ts"),
     )
-    unique = metrics.stream_dedupe(items).select("item_fingerprint", "job_id", "item_id")
+    unique = metrics.stream_dedupe(items)
     metrics.write_available(unique, f"{folder}/out", f"{folder}/_checkpoint").awaitTermination()
-    return spark.read.schema(unique.schema).parquet(f"{folder}/out")
+    closed = spark.read.schema(unique.schema).parquet(f"{folder}/out")
+    return closed.select("item_fingerprint", "job_id", "item_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_at"))

@@ -1,51 +1,57 @@
-"""File sources: folder listing, explicit lists, magic bytes, totals."""
+"""File sources: inventories, explicit lists, magic bytes, totals."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.rules import looks_like_image, normalized_path
 
 
-def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """Files below `root` with size and time; contents are never read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    full = F.regexp_replace("path", "^file:/+", "/")
+def list_files(inventory: DataFrame, root: str, recursive: bool = True) -> DataFrame:
+    """Files below `root` of an inventory table (path, byte_size, modified_at), hidden ones too.
+
+    Without `recursive` only those that lie in `root` itself. Contents are never read.
+    """
     prefix = root.rstrip("/") + "/"
-    return reader.load(root).select(
-        full.alias("path"),
-        F.when(full.startswith(prefix), F.substr(full, F.lit(len(prefix) + 1))).otherwise(full).alias("relative_path"),
-        F.col("length").alias("byte_size"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+    below = inventory.where(F.col("path").startswith(prefix)).withColumn("relative_path", F.substr("path", F.lit(len(prefix) + 1)))
+    if not recursive:
+        below = below.where(~F.col("relative_path").contains("/"))
+    return below.select("path", "relative_path", "byte_size", "modified_at")
+
+
+def _parts(path: Column) -> Column:
+    """A path as it sorts: part by part."""
+    return F.split(path, "/")
 
 
 def scan_files(listing: DataFrame, max_items: int | None = None, max_file_bytes: int | None = None) -> DataFrame:
-    """Items and errors of a listing, in path order.
+    """Items and errors of a listing, in path order, part by part.
 
     Files over `max_file_bytes` are errors. After `max_items` items the scan ends: one
-    `MaxItemsExceeded` error if files remain, and no rows for anything behind.
+    `MaxItemsExceeded` error if files remain, and no rows for anything behind. That limit is
+    the source's stop rule; it is off by default, and meant for small numbers.
     """
     columns = ["relative_path", "byte_size"]
+    listing = listing.select(*columns, _parts(F.col("relative_path")).alias("_parts"))
     too_large = F.lit(False) if max_file_bytes is None else F.col("byte_size") > max_file_bytes
-    items = listing.where(~too_large).select(*columns)
-    large = listing.where(too_large).select(*columns)
+    items = listing.where(~too_large)
+    large = listing.where(too_large)
     nothing = F.lit(None).cast("string")
     end = None
     if max_items is not None:
-        items = items.orderBy("relative_path").limit(max_items)
-        full = items.agg(F.when(F.count(F.lit(1)) >= max_items, F.coalesce(F.max("relative_path"), F.lit(""))).alias("end"))
+        items = items.orderBy("_parts").limit(max_items)
+        full = items.agg(F.when(F.count(F.lit(1)) >= max_items, F.coalesce(F.max("_parts"), F.array(F.lit("")))).alias("end"))
         end = full.scalar()
-        large = large.where(end.isNull() | (F.col("relative_path") < end))
+        large = large.where(end.isNull() | (F.col("_parts") < end))
     result = items.select(*columns, nothing.alias("error_code"), nothing.alias("error_detail")).unionByName(
         large.select(*columns, F.lit(V.FILE_TOO_LARGE).alias("error_code"), F.col("byte_size").cast("string").alias("error_detail"))
     )
     if end is not None:
-        left = listing.where(F.col("relative_path") > end).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        left = listing.where(F.col("_parts") > end).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
         result = result.unionByName(
             left.select(
                 F.lit("").alias("relative_path"), F.lit(None).cast("bigint").alias("byte_size"),

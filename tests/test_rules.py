@@ -139,8 +139,30 @@ def test_keys_take_null_as_equal(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), ("a", "b")], "x string, y string")
     keys = [r[0] for r in df.select(natural_key("x", "y")).collect()]
     assert keys[0] == keys[1] != keys[2]
-    prints = df.select(item_fingerprint(F.col("x"), F.lit("p"), F.lit(1), F.col("y"))).distinct().count()
-    assert prints == 3
+    prints = df.select(item_fingerprint(F.col("x"), F.col("y"), F.lit("p"), F.lit(1))).distinct().count()
+    assert prints == 2
+
+
+def test_item_fingerprint_is_over_job_kind_path_size(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(7, "local_folder", "a/b.dcm", 12)], "j int, k string, p string, n long")
+    got = df.select(item_fingerprint(F.col("j"), F.col("k"), F.col("p"), F.col("n"))).first()[0]
+    assert got == hashlib.sha256(b"7:local_folder:a/b.dcm:12").hexdigest()
+
+
+def test_tag_json_takes_bytes_and_dates(spark):
+    import datetime
+    import json
+
+    df = spark.createDataFrame([({"b": 'x"y'}, {"a": bytearray(b"A\xffB")}, {"c": datetime.date(2024, 1, 2)}), ({}, None, None)], "t map<string,string>, r map<string,binary>, d map<string,date>")
+    got = [r[0] for r in df.select(rules.tag_json(F.col("t"), F.col("r"), F.col("d"))).collect()]
+    assert json.loads(got[0]) == {"a": "A\ufffdB", "b": 'x"y', "c": "2024-01-02"} and got[1] is None
+
+
+def test_private_values_are_whole_by_default(spark):
+    tags = spark.createDataFrame([("o", "c", "0009", "UN", bytearray(b"x" * 100_000))], "observation_id string, creator string, tag string, vr string, raw_value binary")
+    assert len(T.apply_policy(tags, T.PrivateTagPolicy()).first()["raw_value"]) == 100_000
 
 
 def test_redaction_reaches_every_depth(spark):

@@ -21,17 +21,28 @@ def folder(tmp_path):
     return str(root)
 
 
-def test_listing_is_recursive_on_demand(spark, folder):
-    assert rows(files.list_files(spark, folder), "relative_path", "byte_size") == [
+@pytest.fixture
+def inventory(spark):
+    sizes = {"/in/a.dcm": 133, "/in/b.txt": 5, "/in/sub/c.dcm": 500, "/in/sub/deep/d.dcm": 132, "/inner/x": 9, "/in2": 3}
+    return spark.createDataFrame([(p, n, None) for p, n in sizes.items()], "path string, byte_size long, modified_at timestamp")
+
+
+def test_listing_is_recursive_on_demand(inventory):
+    assert rows(files.list_files(inventory, "/in"), "relative_path", "byte_size") == [
         ("a.dcm", 133), ("b.txt", 5), ("sub/c.dcm", 500), ("sub/deep/d.dcm", 132),
     ]
-    assert rows(files.list_files(spark, folder, recursive=False), "relative_path") == [("a.dcm",), ("b.txt",)]
+    assert rows(files.list_files(inventory, "/in/", recursive=False), "relative_path") == [("a.dcm",), ("b.txt",)]
+
+
+def test_listing_keeps_hidden_files(spark):
+    hidden = spark.createDataFrame([(f"/in/{n}", 1, None) for n in ("a.dcm", "_b.dcm", ".c.dcm", "_d/e")], "path string, byte_size long, modified_at timestamp")
+    assert rows(files.list_files(hidden, "/in"), "relative_path") == [(".c.dcm",), ("_b.dcm",), ("_d/e",), ("a.dcm",)]
 
 
-def test_listing_reads_no_content(spark, folder):
-    plan = files.list_files(spark, folder)._jdf.queryExecution().toString()
-    scanned = plan.split("FileScan binaryFile [")[1].split("]")[0]
-    assert "length" in scanned and "content" not in scanned
+def test_paths_sort_part_by_part(spark):
+    listing = spark.createDataFrame([("a-b/x", 1), ("a/x", 1), ("a/b/x", 1)], "relative_path string, byte_size long")
+    got = rows(files.scan_files(listing, max_items=2), "relative_path", "error_code")
+    assert got == [("", V.MAX_ITEMS), ("a/b/x", None), ("a/x", None)]
 
 
 @pytest.mark.parametrize(
@@ -43,8 +54,8 @@ def test_listing_reads_no_content(spark, folder):
         (0, [("", V.MAX_ITEMS)]),
     ],
 )
-def test_scan_limits(spark, folder, max_items, expected):
-    scanned = files.scan_files(files.list_files(spark, folder), max_items, max_file_bytes=200)
+def test_scan_limits(inventory, max_items, expected):
+    scanned = files.scan_files(files.list_files(inventory, "/in"), max_items, max_file_bytes=200)
     assert rows(scanned, "relative_path", "error_code") == expected
 
 

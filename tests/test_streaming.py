@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsledger.operators import canonical as C
 from obsledger.operators import duplicates as D
+from obsledger.plans import QUERIES
 from obsledger.plans import fixtures as X
 from obsledger.streaming import ingest, metrics
 from tests.conftest import rows
@@ -19,21 +20,21 @@ def observations(spark, sf_dir):
     return X.observations(spark, sf_dir).select("observation_id", "sop_instance_uid", "observed_at", "whole_file_sha256").cache()
 
 
-def test_ingest_in_batches_equals_one_batch(spark, observations, tmp_path):
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [1, 2, 0]])
+def test_ingest_in_batches_equals_one_batch(spark, observations, tmp_path, order):
+    """Parts of the ledger arrive in any order, one of them twice."""
     source = str(tmp_path / "in")
     years = F.year("observed_at")
-    for low, high in ((0, 1995), (1996, 1998), (1999, 3000)):  # arrival order; the last part again, as a repeated delivery
-        part = observations.where(years.between(low, high)).coalesce(1)
-        part.write.mode("append").parquet(source)
-    observations.where(years >= 1999).coalesce(1).write.mode("append").parquet(source)
+    spans = [(0, 1995), (1996, 1998), (1999, 3000)]
+    for i in [*order, order[0]]:
+        observations.where(years.between(*spans[i])).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(observations.schema).option("maxFilesPerTrigger", 1).parquet(source)
     ledger = str(tmp_path / "ledger")
     ingest.stream_ingest(stream, ledger, str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(f"{ledger}/observations").select(ingest.BATCH).distinct().count() > 1
     state = ingest.ledger_state(spark, ledger)
     assert rows(state, "observation_id", "is_canonical") == rows(C.canonical_select(observations), "observation_id", "is_canonical")
-    found = spark.read.parquet(f"{ledger}/findings")
-    assert found.select(ingest.BATCH).distinct().count() > 1
-    assert rows(found, "finding_id") == rows(D.identity_duplicates(observations), "finding_id")
+    assert rows(ingest.ledger_findings(spark, ledger), "finding_id") == rows(D.identity_duplicates(observations), "finding_id")
 
 
 def test_repeating_a_batch_changes_nothing(spark, observations, tmp_path):
@@ -41,9 +42,25 @@ def test_repeating_a_batch_changes_nothing(spark, observations, tmp_path):
     early, late = observations.where("observed_at < '1997-01-01'"), observations.where("observed_at >= '1997-01-01'")
     ingest.process_batch(early, 0, ledger)
     ingest.process_batch(late, 1, ledger)
-    before = rows(spark.read.parquet(f"{ledger}/pointers")), rows(spark.read.parquet(f"{ledger}/findings"), "finding_id")
+    before = rows(spark.read.parquet(f"{ledger}/pointers")), rows(ingest.ledger_findings(spark, ledger), "finding_id")
     ingest.process_batch(late, 1, ledger)
-    assert before == (rows(spark.read.parquet(f"{ledger}/pointers")), rows(spark.read.parquet(f"{ledger}/findings"), "finding_id"))
+    assert before == (rows(spark.read.parquet(f"{ledger}/pointers")), rows(ingest.ledger_findings(spark, ledger), "finding_id"))
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_metrics", "stream_dedupe"])
+def test_queries_do_not_depend_on_the_files(spark, sf_dir, tmp_path, name):
+    """The same rows in a folder of files that are cut by time and lie out of order."""
+    for table, cut in (("events", F.expr("ntile(4) OVER (ORDER BY ts)")), ("lineitem", F.expr("ntile(4) OVER (ORDER BY l_shipdate)")), ("orders", F.lit(3))):
+        parts = spark.read.parquet(f"{sf_dir}/{table}.parquet").withColumn("_cut", cut).cache()
+        for i in (3, 1, 4, 2):
+            parts.where(F.col("_cut") == i).drop("_cut").coalesce(1).write.mode("append").parquet(f"{tmp_path}/{table}.parquet")
+        parts.unpersist()
+    assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, sf_dir))
+
+
+def test_stream_of_a_missing_table_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        X.table_stream(spark, str(tmp_path), "events")
 
 
 def _write_events(spark, folder, name, events):
@@ -65,19 +82,19 @@ def test_rate_drops_late_events(spark, tmp_path):
     assert got == [(at(10, 0), 2, 1), (at(12, 0), 1, 0)]
 
 
-def test_dedupe_forgets_after_the_horizon(spark, tmp_path):
-    at = lambda h: dt.datetime(2024, 1, 1, h)
+def test_dedupe_counts_again_after_a_gap(spark, tmp_path):
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
 
-    def run(hours):
-        _write_events(spark, folder, "x", [(at(h), "s", n) for h, n in hours])
+    def run(events):
+        _write_events(spark, folder, "x", [(t, "s", n) for t, n in events])
         stream = spark.readStream.schema("ts timestamp, status string, n int").parquet(folder)
-        items = stream.select("ts", "n", F.lit("j").alias("job_id"), F.col("n").cast("string").alias("source_path"),
-                              F.lit(1).alias("byte_size"), F.lit(None).cast("string").alias("whole_file_sha256"))
-        metrics.write_available(metrics.stream_dedupe(items).select("ts", "n"), out, checkpoint).awaitTermination()
-
-    run([(1, 7), (1, 7), (1, 8)])
-    run([(1, 7), (9, 9)])
-    run([(10, 7), (10, 9)])
-    # 7 is known again after its hour has passed, 9 is still remembered
-    assert rows(spark.read.parquet(out), "n") == [(7,), (7,), (8,), (9,)]
+        items = stream.select("ts", F.col("n").alias("item_id"), F.lit("j").alias("job_id"), F.lit("k").alias("source_kind"),
+                              F.col("n").cast("string").alias("source_path"), F.lit(1).alias("byte_size"))
+        metrics.write_available(metrics.stream_dedupe(items), out, checkpoint).awaitTermination()
+
+    run([(at(1), 7), (at(1, 30), 7), (at(1), 8)])
+    run([(at(2, 20), 7), (at(9), 9)])
+    run([(at(8, 30), 9), (at(10), 7), (at(20), 1)])  # half past eight is late, but not too late
+    # 7 from one to twenty past two is one run, at ten another; the two nines are one, which begins at half past eight
+    assert rows(spark.read.parquet(out), "item_id", "ts") == sorted([(7, at(1)), (7, at(10)), (8, at(1)), (9, at(8, 30))], key=repr)
