@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.functions.paging import limited, page_of
+from obsledger.functions.skew import lookup_join
 from obsledger.functions.text import sanitize_detail, sanitize_path
 from obsledger.operators.lifecycle import all_completed, any_failed
 
@@ -100,8 +101,9 @@ def item_review(
 ) -> DataFrame:
     """Items with everything the ledger knows about them.
 
-    Every fact is brought to one row per observation or instance before it is joined.
-    `observations` has at most one row per item, `bindings` one per instance.
+    Every fact is brought to one row per observation or instance before it is joined; items
+    without an observation, which have no key for that, are scattered. `observations` has at
+    most one row per item, `bindings` one per instance.
     """
     duplicate = findings.groupBy("observation_id").agg(F.min(F.struct("duplicate_type", "basis")).alias("_dup"))
     tagged = private_tags.groupBy("observation_id").agg(F.count(F.lit(1)).alias("_tags"))
@@ -109,13 +111,11 @@ def item_review(
     bound = bindings.select("sop_instance_uid", F.coalesce("binding_status", F.lit("bound")).alias("_binding"))
     seen = F.col("observation_id").isNotNull()
     error = F.coalesce("error_code", F.lit("")) != ""
+    rows = items.join(observations.select("item_id", "observation_id", "sop_instance_uid"), "item_id", "left")
+    for key, facts in (("observation_id", duplicate), ("observation_id", tagged), ("sop_instance_uid", referring), ("sop_instance_uid", bound)):
+        rows = lookup_join(rows, facts, [key], ["item_id"])
     return (
-        items.join(observations.select("item_id", "observation_id", "sop_instance_uid"), "item_id", "left")
-        .join(duplicate, "observation_id", "left")
-        .join(tagged, "observation_id", "left")
-        .join(referring, "sop_instance_uid", "left")
-        .join(bound, "sop_instance_uid", "left")
-        .select(
+        rows.select(
             "item_id", "job_id", "source_path", "byte_size", "outcome",
             all_completed().alias("is_complete"),
             any_failed().alias("has_failures"),
