@@ -138,44 +138,38 @@ def search(index: Index, rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> l
     cuts = _starts(bucket, len(buckets))
     blocks = len(index.common_in_block)
     step = max(1, CELLS // max(blocks, 1))
-    found = []
+    out = []
     for low in range(0, len(buckets), step):
         high = min(len(buckets), low + step + 1)  # one more: a passage reaches into the next bucket
-        t = term[cuts[low] : cuts[high]]
+        owner, t = bucket[cuts[low] : cuts[high]] - low, term[cuts[low] : cuts[high]]
         which, where = _ragged(index.bound_start[t], index.bound_start[t + 1])
-        cell = (bucket[cuts[low] : cuts[high]][which] - low) * blocks + index.bound_block[where]
+        cell = owner[which] * blocks + index.bound_block[where]
         bound = np.bincount(cell, weights=index.bound_impact[where], minlength=(high - low) * blocks).reshape(-1, blocks)
-        follows = np.flatnonzero(buckets[low + 1 : high] == buckets[low : high - 1] + 1)
-        bound[follows] += bound[follows + 1]
-        bound = bound[: min(step, high - low)]
-        found.append(np.argwhere(bound + index.common_in_block >= SCORE - 1e-9) + (low, 0))
-    out = []
-    open_cells = np.concatenate(found)
-    for passage in np.unique(open_cells[:, 0]):
-        number = buckets[passage]
-        end = cuts[passage + 1]
-        if passage + 1 < len(buckets) and buckets[passage + 1] == number + 1:
-            end = cuts[passage + 2]
-        t = np.unique(term[cuts[passage] : end])
-        _, where = _ragged(index.posting_start[t], index.posting_start[t + 1])
-        left = np.isin(index.posting_item[where] // BLOCK_ITEMS, open_cells[open_cells[:, 0] == passage, 1])
-        where = where[left]
-        score = np.bincount(index.posting_item[where], weights=index.posting_impact[where])
-        retrieved = np.flatnonzero(score >= SCORE)
-        if not len(retrieved):
-            continue
-        row, nth = divmod(int(number), most)
-        begin = first_word[row] + nth * index.bucket
-        words = hashes[begin : min(begin + 2 * index.bucket, first_word[row + 1])]
-        have: dict[int, np.ndarray] = {}
-        for item in retrieved:
-            shares = []
-            for width, grams in index.grams[item]:
-                if width not in have:
-                    have[width] = _grams(words, width)
-                shares.append(float(np.isin(grams, have[width]).mean()) if len(grams) else 0.0)
+        follows = np.zeros(high - low + 1, bool)  # whether a bucket goes on where the one before it ends
+        follows[1 : high - low] = buckets[low + 1 : high] == buckets[low : high - 1] + 1
+        ahead = np.flatnonzero(follows) - 1
+        bound[ahead] += bound[ahead + 1]
+        open_ = bound + index.common_in_block >= SCORE - 1e-9
+        open_[min(step, high - low) :] = False
+        # distinct terms of the passages that have an open block, their postings in these blocks, and the sums of those
+        second = follows[owner]
+        passage, t = np.concatenate((owner, owner[second] - 1)), np.concatenate((t, t[second]))
+        wanted = open_.any(1)[passage]
+        pair = np.unique(passage[wanted] * len(index.terms) + t[wanted])
+        passage, t = pair // len(index.terms), pair % len(index.terms)
+        which, where = _ragged(index.posting_start[t], index.posting_start[t + 1])
+        passage, item = passage[which], index.posting_item[where]
+        left = open_[passage, item // BLOCK_ITEMS]
+        cell, at_cell = np.unique(passage[left] * (blocks * BLOCK_ITEMS) + item[left], return_inverse=True)
+        score = np.bincount(at_cell, weights=index.posting_impact[where[left]], minlength=len(cell))
+        for key, value in zip(cell[score >= SCORE].tolist(), score[score >= SCORE].tolist()):
+            passage_no, item_no = divmod(key, blocks * BLOCK_ITEMS)
+            row, nth = divmod(int(buckets[low + passage_no]), most)
+            begin = first_word[row] + nth * index.bucket
+            words = hashes[begin : min(begin + 2 * index.bucket, first_word[row + 1])]
+            shares = [float(np.isin(g, _grams(words, width)).mean()) if len(g) else 0.0 for width, g in index.grams[item_no]]
             if min(shares) >= OVERLAP:
-                out.append((row, int(item), float(score[item]), *shares, int(nth * index.bucket)))
+                out.append((row, item_no, value, *shares, int(nth * index.bucket)))
     return out
 
 
