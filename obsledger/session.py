@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -42,8 +44,10 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session without the setting gets a temporary folder; on a cluster
-    a missing setting is an error, since a machine-local folder would not survive.
+    Only a local session without the setting, as in tests, gets a temporary folder, which goes
+    when the process ends; on a cluster a missing setting is an error, since a machine-local
+    folder would not survive. What is written below the folder of the setting stays until its
+    owner clears it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -53,6 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="obsledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
