@@ -72,16 +72,15 @@ MAGIC_OFFSET = 128
 
 # --- fixed values: object class families, tested in this order ---------------------------
 
-CLASS_ROOT = "1.2.840.10008.5.1.4.1.1."
 CLASS_FAMILIES = [
-    ("2", "CT"),
-    ("4", "MR"),
-    ("1", "CR/DX"),
-    ("6", "US"),
-    ("7", "SC"),
-    ("128", "PET"),
-    ("481", "RT"),
-    ("88", "SR"),
+    ("1.2.840.10008.5.1.4.1.1.2", "CT"),
+    ("1.2.840.10008.5.1.4.1.1.4", "MR"),
+    ("1.2.840.10008.5.1.4.1.1.1", "CR/DX"),
+    ("1.2.840.10008.5.1.4.1.1.6", "US"),
+    ("1.2.840.10008.5.1.4.1.1.7", "SC"),
+    ("1.2.840.10008.5.1.4.1.1.128", "PET"),
+    ("1.2.840.10008.5.1.4.1.1.481", "RT"),
+    ("1.2.840.10008.5.1.4.1.1.88", "SR"),
 ]
 
 # --- fixed values: vendors ---------------------------------------------------------------
@@ -149,12 +148,6 @@ ARCHIVE_LIMITS = {
     "max_nesting_depth": 3,
     "max_entry_bytes": 50 * 1024 * 1024,
 }
-ARCHIVE_LIMITS_CONSERVATIVE = {
-    "max_total_bytes": 50 * 1024 * 1024,
-    "max_entry_count": 1000,
-    "max_nesting_depth": 2,
-    "max_entry_bytes": 10 * 1024 * 1024,
-}
 ARCHIVE_RATIO = 100
 ARCHIVE_RATIO_FLOOR = 1024 * 1024
 

@@ -75,8 +75,7 @@ def object_class_family(sop_class_uid: Column, exact: bool = False) -> Column:
     CR/DX and MR.
     """
     family = F.when(F.coalesce(sop_class_uid, F.lit("")) == "", None)
-    for number, name in V.CLASS_FAMILIES:
-        uid = V.CLASS_ROOT + number
+    for uid, name in V.CLASS_FAMILIES:
         if exact:
             hit = (sop_class_uid == uid) | sop_class_uid.startswith(uid + ".")
         else:

@@ -54,7 +54,7 @@ def test_uid_errors(spark):
 
 
 def test_object_class_family_orders(spark):
-    root = V.CLASS_ROOT
+    root = "1.2.840.10008.5.1.4.1.1."
     given = [root + n for n in ("2", "4", "1.1", "6.1", "7", "128", "481.3", "88.11", "20", "66.4")] + ["1.2", "", None]
     assert one(spark, given, object_class_family) == [
         "CT", "MR", "CR/DX", "US", "SC", "CR/DX", "MR", "SR", "CT", "US", "OTHER", None, None,
