@@ -17,11 +17,10 @@ from obsledger.llm.text import row_chunks, text_bytes
 from obsledger.session import written
 
 ROWS_PER_BUCKET = 200_000
-WORD_CACHE = 1_000_000  # words whose ids a worker keeps
+WORD_CACHE = 500_000  # words whose ids a task keeps
 END_ID = (0).to_bytes(4, "little")
 _CLOSING_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")
 _tokenizers: dict = {}
-_word_ids: dict = {}
 
 
 def _tokenizer(path: str):
@@ -38,8 +37,8 @@ class WordIds:
 
     Exact for a vocabulary that drops white space, lower-cases, and parts letters from
     punctuation before it merges. Words are keyed lower-cased and without a closing mark;
-    texts that may spell a special token are left as they are. A worker keeps `WORD_CACHE`
-    words at most and starts afresh beyond that.
+    texts that may spell a special token are left as they are. At most `WORD_CACHE` words are
+    kept, and it starts afresh beyond that.
     """
 
     MARK = b"0"  # a digit is a token of its own: it parts words that are encoded together
@@ -84,19 +83,12 @@ class WordIds:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
-def word_ids(path: str) -> WordIds:
-    """The worker's own, kept from task to task."""
-    if path not in _word_ids:
-        _word_ids[path] = WordIds(path)
-    return _word_ids[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32): each text's ids and an end id, cut at `capacity`."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer_path)
+        encoder = WordIds(tokenizer_path)
         for batch in batches:
             out = []
             _, offsets = text_bytes(batch.column(1))

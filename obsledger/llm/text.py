@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORDS_PER_SHINGLE = 5
-CHUNK_BYTES = 1 << 21  # of text worked on at a time: bounds a worker's memory, not a document
+CHUNK_BYTES = 1 << 20  # of text worked on at a time: bounds a worker's memory, not a document
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)

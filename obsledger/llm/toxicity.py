@@ -198,7 +198,7 @@ def _with_features(docs: DataFrame, lexicons: list[Lexicon]) -> DataFrame:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
-            for start, end in row_chunks(offsets):
+            for start, end in row_chunks(offsets, 1 << 19):
                 part, inner = data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
                 values = np.zeros((end - start, len(FEATURES)))
                 for i in np.unique(fold[start:end]):
@@ -215,16 +215,19 @@ def _lexicons(sample: DataFrame) -> list[Lexicon]:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            for start, end in row_chunks(offsets):
+            for start, end in row_chunks(offsets, 1 << 19):
                 part, inner = data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
                 starts, ends, rows = _spans(ALPHANUMERIC[part], inner)
                 keys, heads = _keys(_lowered(part), starts, ends)
                 long = heads != 0
                 rows, keys = np.concatenate((rows, rows[long])), np.concatenate((keys, heads[long]))
-                both = np.unique(np.stack([rows.astype(np.uint64), keys], 1), axis=0)
-                at = pa.array(both[:, 0].astype(np.int64) + start)
+                order = np.lexsort((keys, rows))
+                rows, keys = rows[order], keys[order]
+                new = np.ones(len(rows), bool)
+                new[1:] = (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])
+                at = pa.array(rows[new] + start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[:, 1].copy().view(np.int64)), batch.column("toxic").take(at), batch.column("fold").take(at)],
+                    [pa.array(keys[new].view(np.int64)), batch.column("toxic").take(at), batch.column("fold").take(at)],
                     ["key", "toxic", "fold"],
                 )
 
@@ -232,6 +235,7 @@ def _lexicons(sample: DataFrame) -> list[Lexicon]:
     seen = sample.mapInArrow(split, "key bigint, toxic int, fold int").groupBy("key").agg(
         *[F.count_if((F.col("toxic") == t) & (F.col("fold") == f)).alias(f"n{t}{f}") for t in (0, 1) for f in (0, 1)]
     )
+    seen = written(seen.where("n10 + n11 > 0"), "lexicon")  # what no toxic text has is in no lexicon
     out = []
     for folds in ((1,), (0,), (0, 1)):
         n = [F.lit(0) + sum(F.col(f"n{t}{f}") for f in folds) for t in (0, 1)]
