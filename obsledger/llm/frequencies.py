@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
 from obsledger.llm.text import U64, mix
 
@@ -21,7 +22,7 @@ COMMON = 500_000
 LONGEST_COMMON = 64  # bytes of a token in the dictionary; longer ones always take the join
 BLOCK_TOKENS = 500_000  # distinct tokens a task gathers before it hands them on
 OUT_ROWS = 200_000
-BLOCK_VALUES = 1 << 23  # 64-bit values a task gathers before it hands on their counts
+BLOCK_VALUES = 1 << 21  # distinct 64-bit values a task gathers before it hands on their counts
 RANGE_BYTES = 8 << 20  # of text per range of hashes when values are counted
 
 Tokens = Callable[[bytes], list[bytes]]
@@ -59,6 +60,14 @@ def range_bits(total_bytes: int) -> int:
     return min(16, max(4, int(total_bytes // RANGE_BYTES).bit_length()))
 
 
+def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, with the sums of their counts."""
+    order = np.argsort(values)
+    values, counts = values[order], counts[order]
+    starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    return values[starts], np.add.reduceat(counts, starts)
+
+
 def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> DataFrame:
     """Rows (value, n): how often each 64-bit value comes in what `values` makes of the texts of `docs` (text).
 
@@ -67,14 +76,14 @@ def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarr
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> pa.RecordBatch:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
+            found, counts = _summed(np.concatenate([v for v, _ in held]), np.concatenate([n for _, n in held]))
             held.clear()
             ranges = (mix(found) >> U64(64 - bits)).astype(np.uint16)
             order = np.argsort(ranges, kind="stable")
-            found, counts, ranges = found[order], counts[order].astype(np.int64), ranges[order]
+            found, counts, ranges = found[order], counts[order], ranges[order]
             cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
             filled = np.flatnonzero(np.diff(cuts))
             parts = [(found[cuts[r] : cuts[r + 1]].tobytes(), counts[cuts[r] : cuts[r + 1]].tobytes()) for r in filled]
@@ -84,8 +93,8 @@ def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarr
         size = 0
         for batch in batches:
             for part in values(batch.column(0)):
-                held.append(part)
-                size += len(part)
+                held.append(np.unique(part, return_counts=True))
+                size += len(held[-1][0])
                 if size >= BLOCK_VALUES:
                     yield out()
                     size = 0
@@ -96,34 +105,37 @@ def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarr
         found, counts = (
             np.concatenate([np.frombuffer(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("found", np.uint64), ("counts", np.int64))
         )
-        order = np.argsort(found)
-        found, counts = found[order], counts[order]
-        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        return pa.table({"value": pa.array(found[starts].view(np.int64)), "n": pa.array(np.add.reduceat(counts, starts))})
+        found, counts = _summed(found, counts)
+        return pa.table({"value": pa.array(found.view(np.int64)), "n": pa.array(counts)})
 
     counted = docs.select("text").mapInArrow(blocks, "_range int, found binary, counts binary")
     return counted.groupBy("_range").applyInArrow(merge, "value bigint, n bigint")
 
 
-def common_values(values: DataFrame, total: int) -> dict[bytes, tuple[float, float]]:
-    """The dictionary of common tokens, from rows (token, n, v, w); at most `COMMON` entries."""
-    common = values.where((F.col("n") * F.lit(COMMON) >= F.lit(total)) & (F.octet_length("token") <= LONGEST_COMMON))
+def common_values(values: DataFrame, total: int, most: int = COMMON) -> dict[bytes, tuple[float, float]]:
+    """The dictionary of common tokens, from rows (token, n, v, w); at most `most` entries."""
+    common = values.where((F.col("n") * F.lit(most) >= F.lit(total)) & (F.octet_length("token") <= LONGEST_COMMON))
     return {bytes(r["token"]): (r["v"], r["w"]) for r in common.select("token", "v", "w").collect()}
 
 
-def sums_by_document(docs: DataFrame, tokens: Tokens, values: DataFrame, common: dict) -> DataFrame:
+def sums_by_document(
+    docs: DataFrame, tokens: Tokens, values: DataFrame, common: dict, score: Callable[[pa.Array], np.ndarray] | None = None
+) -> DataFrame:
     """For each row of `docs` (doc_id, text, further columns) the sums of `v` and `w` over its tokens.
 
     `values` has a row (token, v, w) per token; tokens it lacks are given to the caller as `missing`,
     their number of occurrences. Result: the columns of `docs` but text, then n_bytes, n_tokens,
     sum_v, sum_w, missing. Repeated rows keep a result each; a null text counts as empty.
+    With `score`, a number per text, there is a column of that name, made in the same pass.
     """
     kept = [f for f in docs.schema.fields if f.name != "text"]
+    scored = [] if score is None else [StructField("score", DoubleType())]
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(common)
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    names = ["_row", *[f.name for f in kept], "n_bytes", "n_tokens", "_v", "_w", "token", "_n"]
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    carried = [*kept, *scored]
+    names = ["_row", *[f.name for f in carried], "n_bytes", "n_tokens", "_v", "_w", "token", "_n"]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
     schema = f"_row bigint, {types}, n_bytes bigint, n_tokens bigint, _v double, _w double, token binary, _n bigint"
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,16 +162,19 @@ def sums_by_document(docs: DataFrame, tokens: Tokens, values: DataFrame, common:
             # a document's own row has a key that no token has, spread over all partitions
             keys = [b"\n\n%d" % r for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), *[batch.column(f.name) for f in kept], pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
+                [batch.column("_row"), *[batch.column(f.name) for f in kept], *scores(batch), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                  pa.array(v, pa.float64()), pa.array(w, pa.float64()), pa.array(keys, pa.binary()), pa.nulls(len(rows), pa.int64())],
                 names,
             )
             if owner:
                 yield rare(batch, owner, token, times)
 
+    def scores(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [] if score is None else [pa.array(score(batch.column("text")), pa.float64())]
+
     def rare(batch, owner, token, times) -> pa.RecordBatch:
         n = len(owner)
-        none = [pa.nulls(n, batch.schema.field(f.name).type) for f in kept]
+        none = [pa.nulls(n, batch.schema.field(f.name).type) for f in kept] + [pa.nulls(n, pa.float64()) for _ in scored]
         numbers = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
         return pa.RecordBatch.from_arrays(
             [pa.array(owner, pa.int64()), *none, *numbers, pa.array(token, pa.binary()), pa.array(times, pa.int64())], names
@@ -171,7 +186,7 @@ def sums_by_document(docs: DataFrame, tokens: Tokens, values: DataFrame, common:
     return (
         joined.groupBy("_row")
         .agg(
-            *[F.max(f.name).alias(f.name) for f in kept],
+            *[F.max(f.name).alias(f.name) for f in carried],
             F.max("n_bytes").alias("n_bytes"),
             F.max("n_tokens").alias("n_tokens"),
             F.sum(F.coalesce(F.col("_v"), F.col("v") * rare_n, F.lit(0.0))).alias("sum_v"),

@@ -23,6 +23,7 @@ ORDER = 6  # bytes of context, 7 at most
 LEAST = 2  # places of an edge: what came once says little about what comes next
 EDGES = 4_000_000  # of one order that can be in the trie: those in at least 1/EDGES of all places
 PARTS, HELD_OUT = 5, 1
+COMMON_WORDS = 200_000  # in the dictionary that stands in a worker's memory beside the trie
 BEFORE, AFTER = 10, 255  # bytes put around a text: line ends before it, a byte that no text has after it
 END = b" "  # the token after the last word; no word holds a space
 
@@ -176,22 +177,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
     training = docs.where(~F.col("held_out"))
     shared = docs.sparkSession.sparkContext.broadcast(train(training))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            scores = [
-                text_scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shared.value) for a, b in row_chunks(offsets)
-            ]
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            columns = [batch.column(c) for c in ("doc_id", "held_out", "text")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], ["doc_id", "held_out", "text", "score"])
+    def score(texts: pa.Array) -> np.ndarray:
+        data, offsets = text_bytes(texts)
+        parts = [text_scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shared.value) for a, b in row_chunks(offsets)]
+        return np.concatenate(parts) if parts else np.zeros(0)
 
     counts = written(token_counts(training, word_tokens), "words")
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, distinct = totals["n"] or 0, totals["v"]
     values = counts.select("token", "n", F.log10(F.col("n") + 0.5).alias("v"), F.lit(1.0).alias("w"))
-    scored = docs.mapInArrow(score, "doc_id bigint, held_out boolean, text string, score double")
-    sums = sums_by_document(scored, word_tokens, values, common_values(values, n))
+    sums = sums_by_document(docs, word_tokens, values, common_values(values, n, COMMON_WORDS), score)
     each = F.log10(F.lit(n + 0.5 * (distinct + 1)))
     base = F.col("sum_v") + F.col("missing") * F.log10(F.lit(0.5)) - F.col("n_tokens") * each
     return sums.select(
