@@ -13,13 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsledger.llm.text import row_chunks, text_bytes
+from obsledger.llm.text import KEPT, row_chunks, text_bytes
 from obsledger.session import written
 
 ROWS_PER_BUCKET = 200_000
-WORD_CACHE = 500_000  # words whose ids a task keeps
+WORD_CACHE = 600_000  # words whose ids a worker keeps
 END_ID = (0).to_bytes(4, "little")
-_CLOSING_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")
+# ASCII marks between a letter and white space or the end; not those that contractions and special tokens have.
+_CLOSING_MARK = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{}~]+)(?=[ \n]|$)")
 _tokenizers: dict = {}
 
 
@@ -36,7 +37,7 @@ class WordIds:
     """Ids of texts, as little-endian 32-bit numbers, chained from the ids of their words.
 
     Exact for a vocabulary that drops white space, lower-cases, and parts letters from
-    punctuation before it merges. Words are keyed lower-cased and without a closing mark;
+    punctuation before it merges. Words are keyed lower-cased and without closing marks;
     texts that may spell a special token are left as they are. At most `WORD_CACHE` words are
     kept, and it starts afresh beyond that.
     """
@@ -88,7 +89,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFra
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(tokenizer_path)
+        if tokenizer_path not in KEPT:
+            KEPT[tokenizer_path] = WordIds(tokenizer_path)
+        encoder = KEPT[tokenizer_path]
         for batch in batches:
             out = []
             _, offsets = text_bytes(batch.column(1))

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORDS_PER_SHINGLE = 5
-CHUNK_BYTES = 1 << 20  # of text worked on at a time: bounds a worker's memory, not a document
+CHUNK_BYTES = 1 << 19  # of text worked on at a time: bounds a worker's memory, not a document
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -23,6 +23,7 @@ _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[9, 10, 11, 12, 13, 32]] = False
 # Letters, digits and all bytes of other scripts: words without their ASCII punctuation.
 ALPHANUMERIC = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+KEPT: dict = {}  # what a worker keeps from task to task; hashing, which needs the memory, drops it
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -70,6 +71,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Running sums from which `span_hashes` takes the hash of any span of bytes."""
+    KEPT.clear()
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + U64(1)) * up[: len(data)], out=sums[1:])
