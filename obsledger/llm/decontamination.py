@@ -25,15 +25,34 @@ BLOCK_ITEMS = 8  # neighbours in the index that share a bound
 PART_ITEMS = 50_000  # items indexed at a time; more items mean more passes over the documents
 CELLS = 2_000_000  # passage x block bounds held at a time
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+_WORD = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]")  # as in ALPHANUMERIC
 GRAM = 3
 
 
+def _with_words(pieces: list[str]) -> list[str]:
+    """Pieces without a letter or digit joined to the one before them, first ones to the one after; none without words."""
+    out, ahead = [], ""
+    for piece in pieces:
+        if _WORD.search(piece):
+            out.append(f"{ahead} {piece}" if ahead else piece)
+            ahead = ""
+        elif out:
+            out[-1] += f" {piece}"
+        else:
+            ahead = f"{ahead} {piece}" if ahead else piece
+    return out
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
-    """The answer is the last sentence; of a single sentence, its last third of words (one at least)."""
-    sentences = [s for s in _SENTENCE_END.split(text.strip()) if s]
+    """The answer is the last sentence; of a single sentence, its last third of words (one at least).
+
+    What has no letter or digit, like a closing mark alone, is neither a sentence nor a word: it
+    goes with its neighbour, so both parts of an item that has words have some.
+    """
+    sentences = _with_words(_SENTENCE_END.split(text.strip()))
     if len(sentences) > 1:
         return " ".join(sentences[:-1]), sentences[-1]
-    words = text.split()
+    words = _with_words(text.split())
     cut = max(1, len(words) - max(1, len(words) // 3))
     return " ".join(words[:cut]), " ".join(words[cut:] or words)
 

@@ -84,6 +84,20 @@ def test_equals_plain_bm25(spark, seed, monkeypatch):
     assert sorted(((r["doc_id"], r["item_id"]) for r in got.collect()), key=repr) == brute(docs, items)
 
 
+def test_exact_copies_of_items_with_lone_marks(spark):
+    """A closing mark, dots or an opening mark alone are no part of their own."""
+    texts = ['did the old man go home late? he said yes . "', "( see the table above . )", "who was the first to sail . . .", "... nobody knew where it had gone. up north!", "word . )"]
+    items = [(i, t) for i, t in enumerate(texts)]
+    for text in texts:
+        assert all(split(part) for part in question_and_answer(text)), text
+    docs = [(10 + i, f"filler one two {t} filler three four") for i, t in items] + [(99, "filler one two . ) \" three four")]
+    got = contaminated(spark.createDataFrame([(*d, "x", 1) for d in docs], DOCS), spark.createDataFrame([(*i, None) for i in items], ITEMS))
+    found = sorted((r["doc_id"], r["item_id"]) for r in got.collect())
+    assert found == [(10 + i, i) for i, _ in items] == brute(docs, items)
+    left = D.decontaminated(spark.createDataFrame([(*d, "x", 1) for d in docs], DOCS), spark.createDataFrame([(*i, None) for i in items], ITEMS))
+    assert [r["doc_id"] for r in left.collect()] == [99]
+
+
 def test_empty_tables(spark):
     none, items = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b c", None)], ITEMS)
     assert contaminated(none, items).count() == 0
