@@ -12,9 +12,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField
 
 from obsledger.llm.text import U64, mix
 
@@ -60,7 +60,7 @@ def range_bits(total_bytes: int) -> int:
     return min(16, max(4, int(total_bytes // RANGE_BYTES).bit_length()))
 
 
-def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, with the sums of their counts."""
     order = np.argsort(values)
     values, counts = values[order], counts[order]
@@ -68,48 +68,80 @@ def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return values[starts], np.add.reduceat(counts, starts)
 
 
-def value_counts(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> DataFrame:
-    """Rows (value, n): how often each 64-bit value comes in what `values` makes of the texts of `docs` (text).
+def hash_ranges(values: np.ndarray, bits: int) -> np.ndarray:
+    """The range of each 64-bit value: the first `bits` bits of its hash."""
+    return (mix(values) >> U64(64 - bits)).astype(np.uint16)
 
-    Tasks hand on the counts of large blocks as packed arrays, one per range of the values' hash;
-    a range is merged in one task. A frequent value is one entry per block, so no range is hot.
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones and so on: what is sorted or small then compresses."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def packed_ranges(ranges: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The ranges that have values, and of each column the packed values of each of them, in the order given."""
+    order = np.argsort(ranges, kind="stable")
+    ranges = ranges[order]
+    starts = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1]))) if len(ranges) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(ranges))
+    out = []
+    for column in columns:
+        column = column[order]
+        out.append([pack(column[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
+    return ranges[starts], out
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """All packed values of a column, in order."""
+    return np.concatenate([np.zeros(0, kind), *[unpack(x, kind) for x in column.to_pylist()]])
+
+
+def value_counts(
+    docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]], bits: int, counted: Column, ranges: Callable[[np.ndarray], np.ndarray]
+) -> DataFrame:
+    """Rows (_range, found, counts): how often each 64-bit value comes in what `values` makes of the texts of `docs` (text).
+
+    Only rows with `counted` count; what others alone have is there with 0. Tasks hand on the counts
+    of large blocks as packed arrays, one per range of the values' hash; a range is merged in one
+    task. A frequent value is one entry per block, so no range is hot. The result is packed again,
+    by `ranges` of its values; a value is in one row.
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> pa.RecordBatch:
-            found, counts = _summed(np.concatenate([v for v, _ in held]), np.concatenate([n for _, n in held]))
+            found, counts = summed(np.concatenate([v for v, _ in held]), np.concatenate([n for _, n in held]))
             held.clear()
-            ranges = (mix(found) >> U64(64 - bits)).astype(np.uint16)
-            order = np.argsort(ranges, kind="stable")
-            found, counts, ranges = found[order], counts[order], ranges[order]
-            cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
-            filled = np.flatnonzero(np.diff(cuts))
-            parts = [(found[cuts[r] : cuts[r + 1]].tobytes(), counts[cuts[r] : cuts[r + 1]].tobytes()) for r in filled]
-            columns = [pa.array(filled, pa.int32()), *[pa.array(c, pa.binary()) for c in zip(*parts)]]
-            return pa.RecordBatch.from_arrays(columns, ["_range", "found", "counts"])
+            filled, columns = packed_ranges(hash_ranges(found, bits), found, counts)
+            return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["_range", "found", "counts"])
 
         size = 0
         for batch in batches:
-            for part in values(batch.column(0)):
-                held.append(np.unique(part, return_counts=True))
-                size += len(held[-1][0])
-                if size >= BLOCK_VALUES:
-                    yield out()
-                    size = 0
+            for times in (1, 0):
+                texts = batch.column("text").filter(pc.equal(batch.column("times"), times))
+                for part in values(texts):
+                    found, counts = np.unique(part, return_counts=True)
+                    held.append((found, counts * times))
+                    size += len(found)
+                    if size >= BLOCK_VALUES:
+                        yield out()
+                        size = 0
         if size:
             yield out()
 
     def merge(group: pa.Table) -> pa.Table:
-        found, counts = (
-            np.concatenate([np.frombuffer(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("found", np.uint64), ("counts", np.int64))
-        )
-        found, counts = _summed(found, counts)
-        return pa.table({"value": pa.array(found.view(np.int64)), "n": pa.array(counts)})
+        found, counts = summed(unpacked(group.column("found"), np.uint64), unpacked(group.column("counts"), np.int64))
+        filled, columns = packed_ranges(ranges(found), found, counts)
+        return pa.table([pa.array(filled, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["_range", "found", "counts"])
 
-    counted = docs.select("text").mapInArrow(blocks, "_range int, found binary, counts binary")
-    return counted.groupBy("_range").applyInArrow(merge, "value bigint, n bigint")
+    schema = "_range int, found binary, counts binary"
+    return docs.select("text", counted.cast("int").alias("times")).mapInArrow(blocks, schema).groupBy("_range").applyInArrow(merge, schema)
 
 
 def common_values(values: DataFrame, total: int, most: int = COMMON) -> dict[bytes, tuple[float, float]]:
@@ -118,24 +150,19 @@ def common_values(values: DataFrame, total: int, most: int = COMMON) -> dict[byt
     return {bytes(r["token"]): (r["v"], r["w"]) for r in common.select("token", "v", "w").collect()}
 
 
-def sums_by_document(
-    docs: DataFrame, tokens: Tokens, values: DataFrame, common: dict, score: Callable[[pa.Array], np.ndarray] | None = None
-) -> DataFrame:
+def sums_by_document(docs: DataFrame, tokens: Tokens, values: DataFrame, common: dict) -> DataFrame:
     """For each row of `docs` (doc_id, text, further columns) the sums of `v` and `w` over its tokens.
 
     `values` has a row (token, v, w) per token; tokens it lacks are given to the caller as `missing`,
     their number of occurrences. Result: the columns of `docs` but text, then n_bytes, n_tokens,
     sum_v, sum_w, missing. Repeated rows keep a result each; a null text counts as empty.
-    With `score`, a number per text, there is a column of that name, made in the same pass.
     """
     kept = [f for f in docs.schema.fields if f.name != "text"]
-    scored = [] if score is None else [StructField("score", DoubleType())]
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(common)
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    carried = [*kept, *scored]
-    names = ["_row", *[f.name for f in carried], "n_bytes", "n_tokens", "_v", "_w", "token", "_n"]
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
+    names = ["_row", *[f.name for f in kept], "n_bytes", "n_tokens", "_v", "_w", "token", "_n"]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema = f"_row bigint, {types}, n_bytes bigint, n_tokens bigint, _v double, _w double, token binary, _n bigint"
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,19 +189,16 @@ def sums_by_document(
             # a document's own row has a key that no token has, spread over all partitions
             keys = [b"\n\n%d" % r for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), *[batch.column(f.name) for f in kept], *scores(batch), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
+                [batch.column("_row"), *[batch.column(f.name) for f in kept], pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                  pa.array(v, pa.float64()), pa.array(w, pa.float64()), pa.array(keys, pa.binary()), pa.nulls(len(rows), pa.int64())],
                 names,
             )
             if owner:
                 yield rare(batch, owner, token, times)
 
-    def scores(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [] if score is None else [pa.array(score(batch.column("text")), pa.float64())]
-
     def rare(batch, owner, token, times) -> pa.RecordBatch:
         n = len(owner)
-        none = [pa.nulls(n, batch.schema.field(f.name).type) for f in kept] + [pa.nulls(n, pa.float64()) for _ in scored]
+        none = [pa.nulls(n, batch.schema.field(f.name).type) for f in kept]
         numbers = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
         return pa.RecordBatch.from_arrays(
             [pa.array(owner, pa.int64()), *none, *numbers, pa.array(token, pa.binary()), pa.array(times, pa.int64())], names
@@ -186,7 +210,7 @@ def sums_by_document(
     return (
         joined.groupBy("_row")
         .agg(
-            *[F.max(f.name).alias(f.name) for f in carried],
+            *[F.max(f.name).alias(f.name) for f in kept],
             F.max("n_bytes").alias("n_bytes"),
             F.max("n_tokens").alias("n_tokens"),
             F.sum(F.coalesce(F.col("_v"), F.col("v") * rare_n, F.lit(0.0))).alias("sum_v"),

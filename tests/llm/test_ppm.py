@@ -113,6 +113,27 @@ def test_small_and_odd_rows(spark):
     assert all(r["score"] < 0 for r in got)
 
 
+@pytest.mark.parametrize("common", [30, 4_000_000])
+def test_scores_equal_plain_model(spark, monkeypatch, common):
+    """Every edge counts, single ones too, whether a gram is in the dictionary or joined."""
+    monkeypatch.setattr(ppm, "EDGES", common)
+    r = random.Random(5)
+    words = ["the", "cat", "sat", "on", "mat", "é", "zz", "a\n", "once7"]
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 30))) + f" {r.random()}") for i in range(60)]
+    rows += [(None, "a null id"), (60, None), (2, rows[2][1]), (61, ""), (62, "völlig neu 漢字")]
+    held = [zlib.crc32(str(d).encode()) % 5 == 1 if d is not None else False for d, _ in rows]
+    assert any(held)
+    plain = Plain([(t or "").encode() for (_, t), h in zip(rows, held) if not h], ppm.ORDER, 1)
+    want = []
+    for d, t in rows:
+        stream = b"\n" * ppm.ORDER + (t or "").encode() + b"\xff"
+        score = sum(math.log10(plain.distribution(stream[i - ppm.ORDER : i])[stream[i]]) for i in range(ppm.ORDER, len(stream)))
+        want.append((-1 if d is None else d, score))
+    got = [(-1 if g["doc_id"] is None else g["doc_id"], g["score"]) for g in score_documents(spark.createDataFrame([(*x, "", 0) for x in rows], SCHEMA)).collect()]
+    assert [d for d, _ in sorted(got)] == [d for d, _ in sorted(want)]
+    assert np.allclose([s for _, s in sorted(got)], [s for _, s in sorted(want)])
+
+
 def test_empty_and_untrained(spark):
     assert score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
