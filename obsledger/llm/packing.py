@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -13,75 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsledger.llm.text import KEPT, row_chunks, text_bytes
+from obsledger.llm.text import row_chunks, text_bytes
+from obsledger.llm.word_ids import kept_encoder
 from obsledger.session import written
 
 ROWS_PER_BUCKET = 200_000
-WORD_CACHE = 600_000  # words whose ids a worker keeps
-END_ID = (0).to_bytes(4, "little")
-# ASCII marks between a letter and white space or the end; not those that contractions and special tokens have.
-_CLOSING_MARK = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{}~]+)(?=[ \n]|$)")
-_tokenizers: dict = {}
-
-
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
-    from tokenizers import Tokenizer
-
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path)
-    return _tokenizers[path]
-
-
-class WordIds:
-    """Ids of texts, as little-endian 32-bit numbers, chained from the ids of their words.
-
-    Exact for a vocabulary that drops white space, lower-cases, and parts letters from
-    punctuation before it merges. Words are keyed lower-cased and without closing marks;
-    texts that may spell a special token are left as they are. At most `WORD_CACHE` words are
-    kept, and it starts afresh beyond that.
-    """
-
-    MARK = b"0"  # a digit is a token of its own: it parts words that are encoded together
-    TOGETHER = 256
-
-    def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
-        self.mark = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
-        self.joinable = len(self.mark) == 1
-
-    def words(self, text: bytes) -> list[bytes]:
-        if b"<|" in text:
-            return text.split()
-        return _CLOSING_MARK.sub(rb" \1", text.lower()).split()
-
-    def learn(self, words: set[bytes]) -> None:
-        unseen = [w for w in words if w not in self.known]
-        if len(self.known) + len(unseen) > WORD_CACHE:
-            self.known.clear()
-            unseen = list(words)
-        together = [w for w in unseen if self.joinable and self.MARK not in w and b"<" not in w]
-        for start in range(0, len(together), self.TOGETHER):
-            part = together[start : start + self.TOGETHER]
-            ids = np.array(self._ids(b" 0 ".join(part)), "<u4")
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(part) - 1:  # another sign for the same digit: one by one
-                self.known.update((w, np.array(self._ids(w), "<u4").tobytes()) for w in part)
-                continue
-            raw, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            self.known.update((w, raw[x:y]) for w, x, y in zip(part, starts, ends))
-        if len(together) < len(unseen):
-            taken = set(together)
-            self.known.update((w, np.array(self._ids(w), "<u4").tobytes()) for w in unseen if w not in taken)
-
-    def _ids(self, text: bytes) -> list[int]:
-        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+CHUNK_BYTES = 1 << 22  # of text encoded at a time
+END_ID = np.zeros(1, "<u4")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
@@ -89,16 +25,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFra
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in KEPT:
-            KEPT[tokenizer_path] = WordIds(tokenizer_path)
-        encoder = KEPT[tokenizer_path]
+        encoder = kept_encoder(tokenizer_path)
         for batch in batches:
             out = []
             _, offsets = text_bytes(batch.column(1))
-            for low, high in row_chunks(offsets):
-                texts = [t or b"" for t in batch.column(1).slice(low, high - low).cast(pa.binary()).to_pylist()]
-                for doc_id, ids in zip(batch.column(0).slice(low, high - low).to_pylist(), encoder.encode(texts)):
-                    ids += END_ID
+            for low, high in row_chunks(offsets, CHUNK_BYTES):
+                found, bounds = encoder.column(batch.column(1).slice(low, high - low))
+                for row, doc_id in enumerate(batch.column(0).slice(low, high - low).to_pylist()):
+                    ids = np.concatenate((found[bounds[row] : bounds[row + 1]], END_ID)).tobytes()
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         out.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))

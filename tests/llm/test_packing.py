@@ -8,10 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from obsledger.llm.packing import WordIds, pack_documents, packing_plan
+from obsledger.llm.packing import pack_documents, packing_plan
+from obsledger.llm.word_ids import WordIds
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id bigint, text string, length string, piece int"
@@ -65,6 +67,25 @@ def test_words_are_independent():
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_long_texts_and_slices():
+    tok, own = Tokenizer.from_file(PATH), WordIds(PATH)
+    texts = [None, "", "é" * 700_000 + " x.", "Naïve, straße! ŉ ǆ Ǆ. " * 50, "a" * 300 + "..."] + [f"w{i} Žluť{i}kůň." for i in range(3000)]
+    column = pa.array(texts * 2, pa.string()).slice(3, 2500)
+    ids, bounds = own.column(column)
+    for text, a, b in zip(column.to_pylist(), bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == tok.encode(text or "", add_special_tokens=False).ids
+
+
+def test_small_generations(monkeypatch):
+    monkeypatch.setattr("obsledger.llm.word_ids.WORDS_KEPT", 5)
+    tok, own = Tokenizer.from_file(PATH), WordIds(PATH)
+    for k in range(30):
+        text = f"the cat{k % 7}, cat{k % 3}. sees xyz the{'e' * (k % 5)}! " + "y" * 70
+        (ids,) = own.encode([text.encode()])
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(own.young) <= 5 + 12 and len(own.old) <= 5 + 12
+
+
 def test_small_and_odd_rows(spark):
     rows = [(1, "a b c", "x", 1), (1, "a b c", "x", 1), (2, None, None, None), (3, "", "", 2), (None, "word " * 500, "y", 3), (4, "z " * 63, "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA)
