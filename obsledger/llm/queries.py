@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsledger.llm.bounded_packing import pack_online
 from obsledger.llm.decontamination import contaminated
 from obsledger.llm.fingerprints import fingerprint_documents
+from obsledger.llm.importance import resample
 from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.ppm import score_documents
@@ -219,6 +221,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.withColumn("headers", F.when(F.col("headers").isNotNull(), F.array_join(lines, "; ")))
 
 
+@query("op12_segment_deduplicated_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_bounded_space_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_online(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
