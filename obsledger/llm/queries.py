@@ -16,6 +16,7 @@ from obsledger.llm.importance import resample
 from obsledger.llm.ngram_join import similar_documents
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.ppm import score_documents
+from obsledger.llm.prefix_trie import conversation_trie
 from obsledger.llm.sharding import shard_documents
 from obsledger.llm.token_counts import count_pieces
 from obsledger.llm.toxicity import score_toxicity
@@ -221,6 +222,54 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.withColumn("headers", F.when(F.col("headers").isNotNull(), F.array_join(lines, "; ")))
 
 
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS first_id, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, bit: xor(a >> 1, (a & 1) * 3988292384)))) % 9 AS h
+  FROM turns GROUP BY conv_id),
+taken AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.first_id AND t.pos <= c.h),
+rebuilt AS (
+  SELECT * FROM taken
+  UNION ALL
+  SELECT t.conv_id, t.pos - c.h + coalesce(k.n, 0), t.role, t.text
+  FROM turns t JOIN convs c USING (conv_id) LEFT JOIN (SELECT conv_id, count(*) AS n FROM taken GROUP BY conv_id) k USING (conv_id)
+  WHERE t.pos > c.h),
+prefixes AS (
+  SELECT conv_id, pos AS depth, strlen(text) AS size,
+    string_agg(md5(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS node
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs),
+last AS (SELECT conv_id, max(depth) AS depth FROM prefixes GROUP BY conv_id),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(size) AS saved,
+    CASE WHEN depth > 0 THEN left(node, 32 * (CAST(depth AS INT) - 1)) END AS parent
+  FROM prefixes GROUP BY node, depth),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT a.node, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE kids.node IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN kids USING (node) JOIN prefixes a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.node),
+ends AS (
+  SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM prefixes JOIN last USING (conv_id, depth) GROUP BY node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, b.n_leaves,
+  CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN below b USING (node) LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN kids ON kids.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""
+
+
+@query("op11_halved_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_segment_deduplicated_resampling")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
