@@ -44,6 +44,13 @@ MAX_ITEMS = "MaxItemsExceeded"
 OUTSIDE_ROOT = "ManifestPathOutsideAllowedRoot"
 FILE_NOT_FOUND = "ManifestFileNotFound"
 DUPLICATE_SAMPLE = "DuplicateCuratedSampleId"
+MANIFEST_UNREADABLE = "CuratedManifestUnreadable"
+MANIFEST_INVALID = "CuratedManifestInvalidJson"
+MANIFEST_NO_DATA = "CuratedManifestMissingDataPath"
+DATA_OUTSIDE_ROOT = "CuratedManifestDataPathOutsideAllowedRoot"
+DATA_INVALID = "CuratedManifestDataPathInvalid"
+ANNOTATION_OUTSIDE_ROOT = "AnnotationPathOutsideAllowedRoot"
+ANNOTATION_NOT_FOUND = "AnnotationPathMissing"
 ARCHIVE_BOMB = "ZipBombDetected"
 ARCHIVE_PATH = "UnsafeArchivePath"
 ARCHIVE_DEPTH = "NestedZipTooDeep"

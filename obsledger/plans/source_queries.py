@@ -10,7 +10,7 @@ from obsledger.plans import fixtures as X
 from obsledger.plans.canonical_queries import FLAGGED
 from obsledger.plans.registry import query
 from obsledger.session import run_folder
-from obsledger.sources import archives, files, manifests, store
+from obsledger.sources import archives, files, manifest_json, manifests, store
 from obsledger.streaming import ingest, metrics
 
 
@@ -150,6 +150,99 @@ def missing_annotations(spark, sf):
     return manifests.missing_annotations(curated_annotations(spark, sf))
 
 
+# --- manifests as JSON text --------------------------------------------------------------
+
+PACKAGE_FILES = [  # name within the package, and the condition on its number
+    ("data/s1.dcm", "true"), ("data/s2/a.dcm", "true"), ("data/s1/x.dcm", "doc_id % 7 = 0"), ("masks/s1.json", "doc_id % 3 <> 0"), ("masks/s1/q.png", "true"),
+    ("masks/s2/m.png", "doc_id % 4 <> 0"), ("boxes/s2", "doc_id % 2 = 0"), ("boxes/other", "true"), ("readme.txt", "true"),
+]
+PACKAGE_TEXTS = [  # by number modulo 20; the last one for all others
+    None, "{oops", "[1]", "{}", '{"data": 5}', '{"data": "/out/data"}', '{"data": "../up"}', '{"data": "readme.txt"}',
+    '{"data": "data", "annotation": {"path": "masks"}}',
+    '{"data": "data", "annotation": [7, {}, {"path": "", "required": true}, {"path": "gone/", "required": true}, {"path": "/out/x", "name": "far", "required": "no"}, {"path": "masks"}]}',
+    '{"data": {"path": "./data"}, "annotation": [{"path": "masks", "name": "mask", "required": true, "task_type": " seg "}, {"path": "boxes/", "label_name": "box", "required": 0}]}',
+]
+
+PACKAGES = {
+    "v_package": "SELECT doc_id, '/pkg/' || doc_id AS dir, '/pkg/' || doc_id || '/data_manifest.json' AS manifest_path, CASE least(doc_id % 20, 10) "
+    + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(PACKAGE_TEXTS) if t is not None) + " END AS content FROM documents",
+    "v_package_file": "SELECT dir, unnest([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in PACKAGE_FILES) + "]) AS name FROM v_package",
+    "v_place": """SELECT DISTINCT dir || '/' || name AS place, false AS is_dir FROM v_package_file WHERE name IS NOT NULL
+        UNION SELECT dir || '/' || array_to_string(string_split(name, '/')[:n], '/'), true FROM v_package_file, range(1, 5) r(n) WHERE n < len(string_split(name, '/'))""",
+    "v_manifest": """SELECT *, CASE WHEN content IS NULL THEN 'CuratedManifestUnreadable|manifest unreadable' WHEN j IS NULL THEN 'CuratedManifestInvalidJson|manifest is not valid JSON'
+          WHEN json_type(j) <> 'OBJECT' THEN 'CuratedManifestInvalidJson|manifest root must be an object'
+          WHEN coalesce(json_type(j, '$.data'), 'NULL') = 'NULL' THEN 'CuratedManifestMissingDataPath|manifest missing data path'
+          WHEN coalesce(trim(given), '') = '' THEN 'CuratedManifestMissingDataPath|manifest data path is empty'
+          WHEN root NOT LIKE '/pkg/%' THEN 'CuratedManifestDataPathOutsideAllowedRoot|path outside allowed roots'
+          WHEN root NOT IN (SELECT place FROM v_place) THEN 'CuratedManifestDataPathInvalid|path does not exist'
+          WHEN root NOT IN (SELECT place FROM v_place WHERE is_dir) THEN 'CuratedManifestDataPathInvalid|path is not a directory' END AS problem
+        FROM (SELECT *, CASE WHEN given LIKE '/%' THEN given WHEN given LIKE '../%' THEN '/pkg/' || given[4:] WHEN given LIKE './%' THEN dir || given[2:] ELSE dir || '/' || given END AS root
+          FROM (SELECT *, CASE json_type(j, '$.data') WHEN 'OBJECT' THEN j ->> '$.data.path' WHEN 'VARCHAR' THEN j ->> '$.data' END AS given
+            FROM (SELECT *, CASE WHEN json_valid(content) THEN CAST(content AS JSON) END AS j FROM v_package)))""",
+    "v_spec": """SELECT *, CASE WHEN json_type(e) <> 'OBJECT' THEN 'must be an object' WHEN json_type(e, '$.path') IS DISTINCT FROM 'VARCHAR' OR trim(e ->> '$.path') = '' THEN 'missing path' END AS wrong,
+          rtrim(CASE WHEN e ->> '$.path' LIKE '/%' THEN e ->> '$.path' ELSE dir || '/' || (e ->> '$.path') END, '/') AS spec_root,
+          coalesce(json_type(e, '$.required') = 'VARCHAR' OR e ->> '$.required' = 'true', false) AS required,
+          coalesce(e ->> '$.name', e ->> '$.label_name', regexp_extract(rtrim(e ->> '$.path', '/'), '[^/]*$')) AS label, nullif(trim(e ->> '$.task_type'), '') AS task_type
+        FROM (SELECT manifest_path, dir, unnest(range(len(l))) AS spec_no, unnest(l) AS e
+          FROM (SELECT manifest_path, dir, CAST(j -> '$.annotation' AS JSON[]) AS l FROM v_manifest WHERE problem IS NULL AND json_type(j, '$.annotation') = 'ARRAY'))""",
+    "v_sample_file": """SELECT *, count(DISTINCT container) OVER (PARTITION BY manifest_path, sample_id) > 1 AS repeated FROM (
+        SELECT manifest_path, dir, name AS relative_path, CASE WHEN name LIKE 'data/%/%' THEN 'dir' ELSE 'file' END AS container, regexp_extract(name, 'data/([^/.]*)', 1) AS sample_id
+        FROM v_manifest JOIN v_package_file USING (dir) WHERE problem IS NULL AND name LIKE 'data/%')""",
+    "v_gone": "SELECT * FROM v_spec WHERE wrong IS NULL AND (spec_root NOT LIKE '/pkg/%' OR spec_root NOT IN (SELECT place FROM v_place))",
+}
+
+
+def packages(spark, sf):
+    """Manifests and the files of their packages."""
+    docs = X.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("/pkg/"), F.col("doc_id").cast("string")).alias("dir"))
+    content = X.pick(F.least(F.col("doc_id") % 20, F.lit(10)).cast("int"), [t or "" for t in PACKAGE_TEXTS])
+    manifests_ = docs.select(F.concat("dir", F.lit("/data_manifest.json")).alias("manifest_path"), F.when(F.col("doc_id") % 20 != 0, content).alias("content"))
+    names = F.explode(F.array(*[F.when(F.expr(c), F.lit(n)) for n, c in PACKAGE_FILES]))
+    files_ = docs.select("dir", names.alias("name")).where("name IS NOT NULL")
+    listing = files_.select(F.concat("dir", F.lit("/"), "name").alias("path"), F.length("name").cast("bigint").alias("byte_size"))
+    return manifest_json.read_manifests(manifests_, listing, ["/pkg"]), listing
+
+
+@query("manifest_specs", """
+SELECT manifest_path, CAST(spec_no AS INTEGER) AS spec_no, spec_root AS root, label, required, task_type FROM v_spec
+WHERE wrong IS NULL AND (manifest_path, spec_no) NOT IN (SELECT (manifest_path, spec_no) FROM v_gone)""", PACKAGES)
+def manifest_specs(spark, sf):
+    return packages(spark, sf)[0].specs.drop("source_path")
+
+
+@query("manifest_errors", """
+SELECT manifest_path, 'data_manifest.json' AS path, split_part(problem, '|', 1) AS error_code, split_part(problem, '|', 2) AS error_detail FROM v_manifest WHERE problem IS NOT NULL
+UNION ALL SELECT manifest_path, 'data_manifest.json', 'CuratedManifestInvalidJson', 'annotation must be a list' FROM v_manifest WHERE problem IS NULL AND json_type(j, '$.annotation') = 'OBJECT'
+UNION ALL SELECT manifest_path, 'data_manifest.json', 'CuratedManifestInvalidJson', 'annotation[' || spec_no || '] ' || wrong FROM v_spec WHERE wrong IS NOT NULL
+UNION ALL SELECT manifest_path, e ->> '$.path', CASE WHEN spec_root LIKE '/pkg/%' THEN 'AnnotationPathMissing' ELSE 'AnnotationPathOutsideAllowedRoot' END,
+  CASE WHEN spec_root LIKE '/pkg/%' THEN 'annotation path does not exist' ELSE 'path outside allowed roots' END FROM v_gone
+UNION ALL SELECT manifest_path, relative_path, 'DuplicateCuratedSampleId', sample_id FROM v_sample_file WHERE repeated""", PACKAGES)
+def manifest_errors(spark, sf):
+    return manifest_json.curated_items(*packages(spark, sf))[1]
+
+
+@query("manifest_items", """
+SELECT f.manifest_path, relative_path, CAST(strlen(relative_path) AS BIGINT) AS byte_size, sample_id, coalesce(refs, '') AS refs, concat_ws(',', gaps, lost) AS missing
+FROM v_sample_file f LEFT JOIN (
+  SELECT manifest_path, sample_id, string_agg(spec_no || ':' || match_path || ':' || label || ':' || coalesce(task_type, '-') || ':' || required, ',' ORDER BY spec_no) AS refs,
+    string_agg(CASE WHEN required AND match_path IS NULL THEN label END, ',' ORDER BY spec_no) AS gaps
+  FROM (SELECT s.*, p.sample_id, CASE WHEN a.place IS NOT NULL THEN a.place[len(s.dir) + 2:] WHEN b.place IS NOT NULL THEN b.place[len(s.dir) + 2:] END AS match_path
+    FROM v_spec s JOIN (SELECT DISTINCT manifest_path, sample_id FROM v_sample_file WHERE NOT repeated) p USING (manifest_path)
+    LEFT JOIN (SELECT DISTINCT place FROM v_place WHERE NOT is_dir) a ON a.place = spec_root || '/' || sample_id || '.json'
+    LEFT JOIN (SELECT DISTINCT place FROM v_place) b ON b.place = spec_root || '/' || sample_id
+    WHERE wrong IS NULL AND (manifest_path, spec_no) NOT IN (SELECT (manifest_path, spec_no) FROM v_gone))
+  GROUP BY manifest_path, sample_id) m USING (manifest_path, sample_id)
+LEFT JOIN (SELECT manifest_path, string_agg(label, ',' ORDER BY spec_no) AS lost FROM v_gone WHERE required GROUP BY manifest_path) g USING (manifest_path)
+WHERE NOT repeated""", PACKAGES)
+def manifest_items(spark, sf):
+    items, _ = manifest_json.curated_items(*packages(spark, sf))
+    text = lambda a: F.concat_ws(":", a["spec_no"].cast("string"), a["path"], a["label"], F.coalesce(a["task_type"], F.lit("-")), a["required"].cast("string"))
+    return items.select(
+        "manifest_path", "relative_path", "byte_size", "sample_id", F.array_join(F.transform("annotations", text), ",").alias("refs"),
+        F.array_join("missing", ",").alias("missing"),
+    )
+
+
 # --- archives and the content store ------------------------------------------------------
 
 LIMITS = {**V.ARCHIVE_LIMITS, "max_total_bytes": 130_000_000, "max_entry_count": 10_000}
