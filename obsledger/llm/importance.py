@@ -11,6 +11,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,8 @@ OUT_ROWS = 200_000
 # Words are 0-9, a-z and all bytes of other scripts; A-Z counts as a-z, a newline stays.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() or c == 10 else 32 for c in range(256))
 _PAIR = b"\n"  # in front of a pair of words that a newline parts; no line holds one
-_TOTALS = "digest binary, n bigint, buckets binary, totals array<bigint>"
+_TOTALS = "digest binary, n bigint, buckets binary, part bigint, totals binary"
+MERGED = 64  # vectors of totals that one task adds up
 
 
 def _encoded(column: pa.Array) -> list[bytes]:
@@ -81,7 +83,8 @@ def line_features(texts: DataFrame, name: str) -> DataFrame:
             yield out()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(BUCKETS, np.int64)
+        totals = np.zeros(BUCKETS, "<i8")
+        names = [f.split()[0] for f in _TOTALS.split(", ")]
         for batch in batches:
             digests, counts, buckets = [], [], []
             pairs, times = [], []
@@ -97,12 +100,12 @@ def line_features(texts: DataFrame, name: str) -> DataFrame:
             weights = np.concatenate([np.repeat(np.array(counts, np.int64), [len(b) for b in buckets]), np.array(times, np.int64)])
             totals += np.bincount(every, weights, BUCKETS).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array([b.tobytes() for b in buckets], pa.binary()), pa.nulls(len(digests), pa.list_(pa.int64()))],
-                ["digest", "n", "buckets", "totals"],
+                [pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array([b.tobytes() for b in buckets], pa.binary()),
+                 pa.nulls(len(digests), pa.int64()), pa.nulls(len(digests), pa.binary())], names,
             )
+        part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([totals.tolist()], pa.list_(pa.int64()))],
-            ["digest", "n", "buckets", "totals"],
+            [pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([part], pa.int64()), pa.array([totals.tobytes()], pa.binary())], names
         )
 
     counted = texts.select("text").mapInArrow(blocks, "line binary, n bigint").groupBy("line").agg(F.sum("n").alias("n"))
@@ -110,12 +113,21 @@ def line_features(texts: DataFrame, name: str) -> DataFrame:
 
 
 def bucket_totals(features: DataFrame) -> np.ndarray:
-    """Occurrences of each bucket's features, from the rows of the tasks; `BUCKETS` numbers."""
-    rows = features.where("digest IS NULL").select(F.posexplode("totals").alias("bucket", "n"))
-    totals = np.zeros(BUCKETS, np.int64)
-    for r in rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        totals[r["bucket"]] = r["n"]
-    return totals
+    """Occurrences of each bucket's features: the tasks' vectors, added up `MERGED` to a task, round after round."""
+
+    def added(vectors: list[bytes]) -> np.ndarray:
+        return sum((np.frombuffer(v, "<i8") for v in vectors), np.zeros(BUCKETS, "<i8"))
+
+    def merge(group: pa.Table) -> pa.Table:
+        total = added(group.column("totals").to_pylist()).tobytes()
+        return pa.table([pa.array([group.column("to")[0].as_py()], pa.int64()), pa.array([total], pa.binary())], ["part", "totals"])
+
+    rows = features.where("digest IS NULL").select("part", "totals")
+    most = rows.agg(F.max("part")).first()[0] or 0
+    while most >= MERGED:
+        rows = rows.withColumn("to", F.floor(F.col("part") / MERGED)).groupBy("to").applyInArrow(merge, "part bigint, totals binary")
+        most //= MERGED
+    return added([r["totals"] for r in rows.select("totals").collect()])
 
 
 def bucket_gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:

@@ -65,6 +65,7 @@ def texts(n, seed):
 def test_equals_plain_loop(spark, monkeypatch, common):
     monkeypatch.setattr(importance, "COMMON", common)
     monkeypatch.setattr(importance, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(importance, "MERGED", 2)
     docs = texts(300, 5) + [(1000, None), (1001, ""), (-3, "...\n...")]
     target = ["Alpha beta x1", "alpha\nthe same line", None, ""]
     frame = spark.createDataFrame([(*d, "x", 3, None) for d in docs], SCHEMA).repartition(5)
