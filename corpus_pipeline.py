@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from obsledger.llm.decontamination import decontaminated
-from obsledger.llm.ngram_join import similar_documents
+from obsledger.llm.ngram_join import without_similar
 from obsledger.llm.packing import pack_documents
 from obsledger.llm.toxicity import without_toxic
 from obsledger.session import run_folder
@@ -25,13 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar ones: that of the smallest id.
-
-    Empty documents are similar to nothing and stay, as do rows with a null id. Rows of one id
-    are one document: where they are of several components, they go if one of them does.
-    """
-    others = similar_documents(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """One document of each component of similar ones: that of the smallest id, row by row."""
+    return without_similar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,14 +116,14 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 
 def signed_sets(docs: DataFrame, frequent: np.ndarray, df: np.ndarray) -> DataFrame:
-    """Per row of `docs` (_row, doc_id, text): size n, signature of its set, prefix and its signature, bitmap, key.
+    """Per row of `docs` (_row, doc_id, text, text_key): size n, signature of its set, prefix and its signature, bitmap, key.
 
     The order of shingles is by document frequency for frequent ones, after all others, which
     are ordered by hash. Two sets of Jaccard 0.75 or more share a shingle of their prefixes,
     the first n - ceil(3n/4) + 1.
     """
     shared = docs.sparkSession.sparkContext.broadcast((frequent, df))
-    names = ["_row", "doc_id", "n", "sig", "prefix_sig", "prefix", "bitmap", "key"]
+    names = ["_row", "doc_id", "text_key", "n", "sig", "prefix_sig", "prefix", "bitmap", "key"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = shared.value
@@ -152,6 +152,7 @@ def signed_sets(docs: DataFrame, frequent: np.ndarray, df: np.ndarray) -> DataFr
                     [
                         batch.column("_row").slice(start, end - start),
                         ids,
+                        batch.column("text_key").slice(start, end - start),
                         pa.array(n, pa.int64()),
                         pa.array([s.tobytes() for s in sig], pa.binary()),
                         pa.array([s.tobytes() for s in prefix_sig], pa.binary()),
@@ -163,7 +164,7 @@ def signed_sets(docs: DataFrame, frequent: np.ndarray, df: np.ndarray) -> DataFr
                 )
 
     return docs.mapInArrow(
-        sign, "_row bigint, doc_id bigint, n bigint, sig binary, prefix_sig binary, prefix array<bigint>, bitmap binary, key bigint"
+        sign, "_row bigint, doc_id bigint, text_key binary, n bigint, sig binary, prefix_sig binary, prefix array<bigint>, bitmap binary, key bigint"
     )
 
 
@@ -242,6 +243,23 @@ def _linked(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(alike, "a bigint, b bigint")
 
 
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def without_similar(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` (doc_id, text, further columns) but those similar to one of a smaller id: a document of each component stays.
+
+    Rows are judged one by one: where one id has texts of several components, each text belongs to
+    its own. Of a component the rows of its smallest id stay (repeated rows of one id are one
+    document). Rows with a null id stay, and so do null and empty texts, which are similar to nothing.
+    """
+    later = _with_components(docs.select("doc_id", "text")).where("component_id <> doc_id").select("doc_id", "text_key").distinct()
+    keyed = docs.withColumn("_text_key", _text_key())
+    gone = (F.col("l.doc_id") == F.col("r.doc_id")) & (F.col("l._text_key") == F.col("r.text_key"))
+    return keyed.alias("l").join(later.alias("r"), gone, "left_anti").drop("_text_key")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one for each row of `docs` (doc_id, text).
 
@@ -261,6 +279,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
        members from different components are compared. Links inside a component are not
        needed to know it, all others are found: no group is capped or sampled.
     """
+    return _with_components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _with_components(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text_key, n, component_id), one for each row of `docs`: see `similar_documents`."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     total_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counts = written(shingle_frequencies(docs, _range_bits(total_bytes)), "shingles")
@@ -268,7 +291,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     least = max(FREQUENT_DF, -(-occurrences // FREQUENT_LIMIT))
     often = counts.where((F.col("token") >= 0) & (F.col("df") >= least)).toPandas().sort_values("token")
     signed = signed_sets(
-        docs.withColumn("_row", F.monotonically_increasing_id()), often["token"].to_numpy(np.int64), often["df"].to_numpy(np.int64)
+        docs.withColumns({"_row": F.monotonically_increasing_id(), "text_key": _text_key()}), often["token"].to_numpy(np.int64), often["df"].to_numpy(np.int64)
     )
     signed = written(signed, "signed")
     filled = signed.where("n > 0")
@@ -305,7 +328,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     found = connected_components(links.unionByName(more))
     where = sets.join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("c"))
-    placed = signed.select("_row", "doc_id", "n", "sig").join(where, "sig", "left")
+    placed = signed.select("_row", "doc_id", "text_key", "n", "sig").join(where, "sig", "left")
     placed = placed.withColumn("c", F.when(F.col("n") > 0, F.col("c")).otherwise(-1 - F.col("_row")))
     smallest = placed.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(smallest, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return placed.join(smallest, "c").select("doc_id", "text_key", "n", "component_id")

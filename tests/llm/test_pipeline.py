@@ -53,6 +53,14 @@ def test_stages_keep_odd_rows(spark, tmp_path):
     assert contaminated(leak, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).first()["doc_id"] == 11
 
 
+def test_every_text_keeps_a_document(spark, sf_dir):
+    r = random.Random(4)
+    a, b = (" ".join(f"{x}{r.randrange(90)}" for _ in range(60)) for x in "ab")
+    docs = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (3, b, "en", "s", 1), (9, a, "en", "s", 1), (7, None, "en", "s", 1), (7, "", "en", "s", 1)]
+    kept = STAGES["ngram_jaccard_join"](spark, spark.createDataFrame(docs, DOCS), sf_dir)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([docs[0], docs[2], docs[4], docs[5]], key=repr)
+
+
 def test_empty_table(spark, sf_dir):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
