@@ -8,6 +8,7 @@ from obsledger.plans import (  # noqa: F401
     model_queries,
     rule_queries,
     source_queries,
+    stored_queries,
 )
 from obsledger.plans.canonical_queries import flagship
 from obsledger.plans.registry import ORACLES, QUERIES
