@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
@@ -130,6 +130,70 @@ def alert_rules(events: DataFrame, items: DataFrame, as_of: Column) -> DataFrame
     return rules.unionByName(overall).select("rule", "value", level.alias("level"))
 
 
+def alert_episodes(
+    events: DataFrame, labels: Sequence[str] = (), threshold: float = 0.01, window_seconds: int = 60, hold_seconds: int = 120, as_of: Column | None = None
+) -> DataFrame:
+    """Stretches of time in which the error rate stays over `threshold` for `hold_seconds` or longer.
+
+    Events are counted per window first; a window without events has no rate and ends a stretch. Windows over
+    the threshold that follow each other are one episode: from the start of its first to the end
+    of its last window, with its events, failures and worst rate. With `as_of` only windows that
+    have ended by then count. What is ordered is windows, a row each, not events.
+    """
+    size = f"{window_seconds} seconds"
+    rates = (
+        events.groupBy(F.window("ts", size).alias("w"), *labels)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "failed").alias("n_failed"))
+        .select(*labels, F.col("w.start").alias("_start"), F.col("w.end").alias("_end"), "n", "n_failed", (F.col("n_failed") / F.col("n")).alias("rate"))
+    )
+    if as_of is not None:
+        rates = rates.where(F.col("_end") <= as_of)
+    over = rates.where(F.col("rate") > threshold)
+    number = F.floor(F.unix_seconds(F.col("_start").cast("timestamp")) / window_seconds)
+    place = F.row_number().over(Window.partitionBy(*labels).orderBy("_start")) if labels else F.row_number().over(Window.orderBy("_start"))
+    return (
+        over.withColumn("_island", number - place)
+        .groupBy(*labels, "_island")
+        .agg(
+            F.min("_start").alias("started_at"), F.max("_end").alias("ended_at"), F.count(F.lit(1)).alias("n_windows"),
+            F.sum("n").alias("n"), F.sum("n_failed").alias("n_failed"), F.max("rate").alias("worst_rate"),
+        )
+        .where(F.col("n_windows") * window_seconds >= hold_seconds)
+        .drop("_island")
+    )
+
+
+def sketch_rank_error(k: int) -> float:
+    """Rank error of a sketch of size `k`, as a share of the values, that 99 of 100 sketches keep."""
+    return 2.296 / k**0.9723
+
+
+def quantile_sketches(df: DataFrame, labels: Sequence[str], value: str, window: str = "5 minutes", k: int = 800) -> DataFrame:
+    """A quantile sketch of `value` per label set and window of `ts`: window_start, labels, n, sketch.
+
+    A sketch has a fixed size however many values it has seen, and is built map-side; those of
+    any windows can be merged, so a stored table of them answers for every span without the events.
+    """
+    seen = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k))
+    grouped = seen.groupBy(F.window("ts", window).alias("w"), *labels).agg(F.count(F.lit(1)).alias("n"), sketch.alias("sketch"))
+    return grouped.select(F.col("w.start").alias("window_start"), *labels, "n", "sketch")
+
+
+def sketch_quantiles(sketches: DataFrame, labels: Sequence[str], quantiles: Sequence[float], start=None, end=None) -> DataFrame:
+    """Quantiles per label set over the windows from `start` to before `end`: labels, n, quantile, estimate, one row each.
+
+    Estimates are off by `sketch_rank_error` of the sketches' size in rank, whatever the number of merges.
+    """
+    if start is not None:
+        sketches = sketches.where(F.col("window_start") >= start)
+    if end is not None:
+        sketches = sketches.where(F.col("window_start") < end)
+    merged = sketches.groupBy(*labels).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("_s")).where("n > 0")
+    rows = [F.struct(F.lit(float(q)).alias("quantile"), F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias("estimate")) for q in quantiles]
+    return merged.select(*labels, "n", F.inline(F.array(*rows)))
+
+
 def audit_log(actions: DataFrame) -> DataFrame:
     """Audit rows (actor_id, action, resource_type, resource_id, sensitive_fields, success) with the access flag."""
     return actions.withColumn("sensitive_accessed", F.size("sensitive_fields") > 0)

@@ -84,10 +84,13 @@ def refs_resolve(spark, sf):
 EDGE_ID = "md5(concat_ws('|', from_sop, relationship, coalesce(to_study, ''), coalesce(to_series, ''), coalesce(to_sop, ''), CAST(coalesce(frame_number, 0) AS VARCHAR)))"
 
 
-def old_resolved(spark, sf):
+def old_instances(spark, sf):
     old = X.observations(spark, sf).where(F.col("job_id") <= LAST_STORED_JOB)
-    old = old.select("sop_instance_uid", "series_instance_uid", "study_instance_uid").distinct()
-    return R.refs_resolve(X.edges(spark, sf), old)
+    return old.select("sop_instance_uid", "series_instance_uid", "study_instance_uid").distinct()
+
+
+def old_resolved(spark, sf):
+    return R.refs_resolve(X.edges(spark, sf), old_instances(spark, sf))
 
 
 @query("edges_upsert", f"""
@@ -126,6 +129,18 @@ def edges_reresolve(spark, sf):
     return again.select(*R.EDGE, "resolved_sop", "resolution_path")
 
 
+@query("edges_reresolve_delta", """
+SELECT from_sop, relationship, to_study, to_series, to_sop, frame_number, resolved_sop, resolution_path
+FROM v_again WHERE status = 'resolved'""", GRAPH)
+def edges_reresolve_delta(spark, sf):
+    """The instances that came after the stored jobs are the arrivals."""
+    instances = X.instances(spark, sf)
+    before = old_instances(spark, sf)
+    arrivals = instances.join(before, "sop_instance_uid", "left_anti")
+    again, _ = R.edges_reresolve_delta(old_resolved(spark, sf), R.candidate_counts(before), arrivals)
+    return again.select(*R.EDGE, "resolved_sop", "resolution_path")
+
+
 @query("edge_summary", """
 SELECT from_sop, coalesce(relationship, '*') AS relationship, coalesce(status, '*') AS status, count(*) AS n
 FROM v_resolved GROUP BY GROUPING SETS ((from_sop, relationship, status), (from_sop, relationship), (from_sop))""", GRAPH)

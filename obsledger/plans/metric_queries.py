@@ -114,6 +114,33 @@ def alert_rules(spark, sf):
     return M.alert_rules(X.events(spark, sf), X.items(spark, sf), as_of())
 
 
+@query("alert_episodes", """
+SELECT stage, strftime(min(w), '%Y-%m-%d %H:%M:%S') AS started_at, strftime(max(w) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS ended_at, count(*) AS n_windows,
+  CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_failed) AS BIGINT) AS n_failed, max(n_failed / n) AS worst_rate
+FROM (SELECT *, epoch(w) // 3600 - row_number() OVER (PARTITION BY stage ORDER BY w) AS island FROM (
+  SELECT stage, date_trunc('hour', ts) AS w, count(*) AS n, count(*) FILTER (WHERE status = 'failed') AS n_failed FROM v_event GROUP BY ALL)
+  WHERE n_failed / n > 0.01 AND w + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-25 12:00:00')
+GROUP BY stage, island HAVING count(*) >= 2""")
+def alert_episodes(spark, sf):
+    """Hours over one per cent, two or more in a row, per stage."""
+    found = M.alert_episodes(X.events(spark, sf), ["stage"], 0.01, 3600, 7200, F.lit("2024-01-25 12:00:00").cast("timestamp_ntz"))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started_at", "ended_at")})
+
+
+@query("quantile_sketches", """
+SELECT stage, quantile, count(*) AS n, true AS within_bound FROM v_event, (SELECT unnest([0.5::DOUBLE, 0.95, 0.99]) AS quantile) WHERE duration_ms IS NOT NULL GROUP BY ALL""")
+def quantile_sketches(spark, sf):
+    """Sketches of five minutes merged over all time, held against the exact rank of their estimates."""
+    events = X.events(spark, sf)
+    found = M.sketch_quantiles(M.quantile_sketches(events, ["stage"], "duration_ms"), ["stage"], [0.5, 0.95, 0.99])
+    exact = events.join(found, "stage").groupBy("stage", "quantile", found.n).agg(
+        F.count_if(F.col("duration_ms") < F.col("estimate")).alias("_below"), F.count_if(F.col("duration_ms") <= F.col("estimate")).alias("_upto")
+    )
+    bound = 2 * M.sketch_rank_error(800)
+    within = (F.col("_below") / F.col("n") <= F.col("quantile") + bound) & (F.col("_upto") / F.col("n") >= F.col("quantile") - bound)
+    return exact.select("stage", "quantile", "n", within.alias("within_bound"))
+
+
 AUDIT = {
     "v_audit": """SELECT event_id, 'user' || job_id AS actor_id, ['CREATE', 'READ', 'REPLAY', 'EXPORT'][event_id % 4 + 1] AS action,
         'ingestion_item' AS resource_type, CAST(item_id AS VARCHAR) AS resource_id,

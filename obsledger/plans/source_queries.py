@@ -323,6 +323,17 @@ def stream_ingest(spark, sf):
     return ingest.ledger_state(spark, folder).select("observation_id", "sop_instance_uid", "is_canonical")
 
 
+@query("stream_ingest_compacted", "SELECT observation_id, sop_instance_uid, is_canonical FROM v_flagged", FLAGGED)
+def stream_ingest_compacted(spark, sf):
+    """A batch per year, the first one delivered again at the end; runs are merged on the way."""
+    folder, obs = run_folder(spark, "stream_ingest"), X.observations(spark, sf)
+    years = sorted(r[0] for r in obs.select("job_id").distinct().collect())
+    for no, year in enumerate([*years, years[0]]):
+        ingest.process_batch(obs.where(F.col("job_id") == year), no, folder)
+        ingest.compact(spark, folder, fanout=2)
+    return ingest.ledger_state(spark, folder).select("observation_id", "sop_instance_uid", "is_canonical")
+
+
 @query("stream_metrics", """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n, count(*) FILTER (WHERE status = 'failed') AS n_failed
 FROM (SELECT date_trunc('minute', ts) - to_minutes(back) AS w, status FROM v_event, (SELECT unnest([0, 1, 2, 3, 4]) AS back))

@@ -59,9 +59,9 @@ def stored_edges_merge(spark, sf):
 
 
 @query("reindex_stored", f"""
-SELECT CASE WHEN observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' THEN '{V.PROJECTION_VERSION}' ELSE h.projection_version END AS projection_version,
-  CASE WHEN observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' THEN 'fresh' ELSE 'held' END AS modality, count(*) AS n
-FROM v_state s LEFT JOIN v_held h USING (instance_id) WHERE s.state <> 'missing' OR observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' GROUP BY ALL""", model_queries.STORED_MODEL)
+SELECT CASE WHEN s.observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' THEN '{V.PROJECTION_VERSION}' ELSE h.projection_version END AS projection_version,
+  CASE WHEN s.observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' THEN 'fresh' ELSE 'held' END AS modality, count(*) AS n
+FROM v_state s LEFT JOIN v_held h USING (instance_id) WHERE s.state <> 'missing' OR s.observed_at BETWEEN DATE '1996-06-01' AND DATE '2000-06-30' GROUP BY ALL""", model_queries.STORED_MODEL)
 def reindex_stored(spark, sf):
     """The read model after a rebuild of the instances in scope, by version and side."""
     held = model_queries.held_model(spark, sf).withColumn("modality", F.lit("held"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,43 @@ def test_repeating_a_batch_changes_nothing(spark, observations, tmp_path):
     assert before == (rows(spark.read.parquet(f"{ledger}/pointers")), rows(ingest.ledger_findings(spark, ledger), "finding_id"))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_compaction_changes_no_answer(spark, observations, tmp_path, monkeypatch, seed):
+    """Batches in any order, some rows and some batches twice; compactions between, one of them killed."""
+    ledger, r = str(tmp_path / "ledger"), random.Random(seed)
+    parts = [observations.where(F.pmod(F.xxhash64("observation_id"), F.lit(6)).isin(i, (i + 1) % 6)) for i in range(6)]
+    order = [r.randrange(6) for _ in range(3)] + r.sample(range(6), 6)
+    seen = set()
+    for no, i in enumerate(order):
+        ingest.process_batch(parts[i], no, ledger)
+        seen |= {i, (i + 1) % 6}
+        if no == 4:
+            with monkeypatch.context() as patched:
+                patched.setattr(ingest, "_next_version", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+                with pytest.raises(KeyboardInterrupt):
+                    ingest.compact(spark, ledger, 2)
+        if no in (3, 4, 6, 8):
+            ingest.compact(spark, ledger, 2)
+    assert seen == set(range(6))
+    ingest.process_batch(parts[order[2]], 2, ledger)  # an old batch once more
+    levels = [level for _, level, _ in ingest._runs(spark, ledger)]
+    assert max(levels) >= 1 and all(levels.count(x) < 2 for x in levels)
+    state = ingest.ledger_state(spark, ledger)
+    assert rows(state, "observation_id", "is_canonical") == rows(C.canonical_select(observations), "observation_id", "is_canonical")
+    assert rows(ingest.ledger_findings(spark, ledger), "finding_id") == rows(D.identity_duplicates(observations), "finding_id")
+
+
+def test_folders_read_do_not_grow_with_batches(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    rows_of = lambda no: spark.createDataFrame([(f"o{no}", f"s{no % 3}", dt.date(2024, 1, 1), "h")], "observation_id string, sop_instance_uid string, observed_at date, whole_file_sha256 string")
+    for no in range(17):
+        ingest.process_batch(rows_of(no), no, ledger)
+        ingest.compact(spark, ledger, 4)
+        waiting = spark.read.parquet(f"{ledger}/pointers").where(F.col(ingest.BATCH) > ingest._compacted_to(ingest._runs(spark, ledger)))
+        assert len(ingest._runs(spark, ledger)) <= 2 * 3 and waiting.select(ingest.BATCH).distinct().count() < 4
+    assert ingest.ledger_observations(spark, ledger).count() == 17 and ingest.ledger_pointers(spark, ledger).count() == 3
+
+
 @pytest.mark.parametrize("name", ["stream_ingest", "stream_metrics", "stream_dedupe"])
 def test_queries_do_not_depend_on_the_files(spark, sf_dir, tmp_path, name):
     """The same rows in a folder of files that are cut by time and lie out of order."""
