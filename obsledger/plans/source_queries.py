@@ -11,7 +11,7 @@ from obsledger.plans.canonical_queries import FLAGGED
 from obsledger.plans.registry import query
 from obsledger.session import run_folder
 from obsledger.sources import archives, files, manifest_json, manifests, store
-from obsledger.streaming import ingest, metrics
+from obsledger.streaming import ingest, metrics, progress
 
 
 # --- files -------------------------------------------------------------------------------
@@ -365,3 +365,37 @@ def stream_dedupe(spark, sf):
     metrics.write_available(unique, f"{folder}/out", f"{folder}/_checkpoint").awaitTermination()
     closed = spark.read.schema(unique.schema).parquet(f"{folder}/out")
     return closed.select("item_fingerprint", "job_id", "item_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_at"))
+
+
+LIVE_LAG = {"v_live": "SELECT DISTINCT item_id, ts FROM v_event WHERE stage = 'metadata_persistence' AND ts < (SELECT max(ts) FROM v_event) - INTERVAL 4 DAY"}
+
+
+@query("stream_index_lag", """
+SELECT p.item_id, strftime(p.ts, '%Y-%m-%d %H:%M:%S.%f') AS persisted_at, (epoch_us(min(i.ts)) - epoch_us(p.ts)) / 1000000 AS lag_seconds
+FROM v_live p LEFT JOIN v_event i ON i.item_id = p.item_id AND i.stage = 'indexing' AND i.ts BETWEEN p.ts AND p.ts + INTERVAL 48 HOUR
+GROUP BY p.item_id, p.ts""", LIVE_LAG)
+def stream_index_lag(spark, sf):
+    """Persistence and indexing events joined as streams; what four days have closed."""
+    folder = run_folder(spark, "stream_index_lag")
+    events = X.events(spark, sf, X.table_stream(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    lags = progress.index_lags(events, "48 hours", "1 hour")
+    metrics.write_available(lags, f"{folder}/out", f"{folder}/_checkpoint").awaitTermination()
+    last = X.events(spark, sf).agg(F.max("ts").cast("timestamp")).first()[0]
+    closed = spark.read.schema(lags.schema).parquet(f"{folder}/out").where(F.col("persisted_at") < F.lit(last) - F.expr("INTERVAL 4 DAYS"))
+    return closed.withColumn("persisted_at", F.date_format("persisted_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query("stream_stuck_items", """
+SELECT item_id, stage, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS since FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts DESC, event_id DESC) AS back FROM v_event WHERE ts <= (SELECT max(ts) FROM v_event) - INTERVAL 2 DAY)
+WHERE back = 1 AND status = 'in_progress' AND ts <= (SELECT max(ts) FROM v_event) - INTERVAL 2 DAY - INTERVAL 10 MINUTE""")
+def stream_stuck_items(spark, sf):
+    """Changes of a stream folded up to a time that its watermark has passed."""
+    folder = run_folder(spark, "stream_stuck_items")
+    events = X.events(spark, sf, X.table_stream(spark, sf, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    changes = progress.stuck_changes(events, 10, "1 hour")
+    metrics.write_available(changes, f"{folder}/out", f"{folder}/_checkpoint").awaitTermination()
+    last = X.events(spark, sf).agg(F.max("ts").cast("timestamp")).first()[0]
+    passed = F.lit(last) - F.expr("INTERVAL 2 DAYS")
+    stuck = progress.stuck_now(spark.read.schema(progress.CHANGE).parquet(f"{folder}/out").where(F.col("at") <= passed))
+    return stuck.withColumn("since", F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
