@@ -270,7 +270,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
-@query("op12_segment_deduplicated_resampling")
+OP12_SQL = r"""
+WITH codes AS (SELECT list_reduce(list_prepend(CAST(i AS BIGINT), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, bit: xor(a >> 1, (a & 1) * 3988292384)) AS code, i FROM range(256) r(i)),
+crc AS (SELECT list(code ORDER BY i) AS t FROM codes),
+texts AS (
+  SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+  SELECT side, doc_id, row_number() OVER () AS row_no, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+  SELECT row_no, side, unnest(w || list_transform(list_zip(w[:-2], w[2:]), lambda p: p[1] || ' ' || p[2])) AS f FROM words),
+counted AS (SELECT row_no, side, f, count(*) AS n FROM features GROUP BY ALL),
+spelled AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)),
+hashed AS (
+  SELECT f, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i+1] AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) % 10000 AS bucket FROM spelled, crc),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0) AS t FROM counted JOIN hashed USING (f) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM sums),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM sums, totals),
+sized AS (
+  SELECT w.doc_id, w.row_no, len(w.w) AS n_words, greatest(2 * len(w.w) - 1, 0) AS n_features, coalesce(g.gain, 0) AS gain
+  FROM words w LEFT JOIN (SELECT row_no, CAST(sum(n * gain) AS BIGINT) AS gain FROM counted JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_no) g USING (row_no)
+  WHERE side = 'd'),
+weighed AS (
+  SELECT *, CASE WHEN n_features > 0 THEN (gain - ((gain % n_features + n_features) % n_features)) // n_features ELSE 0 END AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[:8] AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS noise FROM sized),
+placed AS (SELECT *, weight + noise AS score, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST) END AS place FROM weighed)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 25 * count(*) // 100 FROM placed WHERE n_words >= 20) THEN place END AS rank FROM placed
+"""
+
+
+@query("op12_segment_deduplicated_resampling", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
