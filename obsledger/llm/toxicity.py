@@ -294,8 +294,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted) for every whole text of `docs` (doc_id, text).
 
     Learns from `labels` (doc_id, toxic 0/1) of documents that are not held out, at most `SAMPLE`
-    of them, each distinct text once. The lexicon, words and word beginnings with high log odds,
-    is learned there too; a training row's features come from a lexicon learned without its
+    of them, each distinct text once. The lexicon, the `LEXICON` words and word beginnings whose
+    log odds are surest, at most, is learned from this sample too; a training row's features come from a lexicon learned without its
     fold. Three quarters of the rows grow the trees, the others calibrate their probability by
     isotonic regression. Inputs of a score are the features of the text alone.
 
