@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +23,11 @@ COMMON = 500_000
 LONGEST_COMMON = 64  # bytes of a token in the dictionary; longer ones always take the join
 BLOCK_TOKENS = 500_000  # distinct tokens a task gathers before it hands them on
 OUT_ROWS = 200_000
-BLOCK_VALUES = 1 << 21  # distinct 64-bit values a task gathers before it hands on their counts
+BLOCK_VALUES = 1 << 20  # distinct 64-bit values a task gathers before it hands on their counts
 RANGE_BYTES = 8 << 20  # of text per range of hashes when values are counted
 
+_small, _whole = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
 Tokens = Callable[[bytes], list[bytes]]
 
 
@@ -56,8 +59,8 @@ def token_counts(docs: DataFrame, tokens: Tokens) -> DataFrame:
 
 
 def range_bits(total_bytes: int) -> int:
-    """Ranges, as a power of two, among which the values of so much text are counted."""
-    return min(16, max(4, int(total_bytes // RANGE_BYTES).bit_length()))
+    """Ranges, as a power of two, among which the values of so much text are counted; their number follows the text."""
+    return max(4, int(total_bytes // RANGE_BYTES).bit_length())
 
 
 def summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,16 +73,17 @@ def summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def hash_ranges(values: np.ndarray, bits: int) -> np.ndarray:
     """The range of each 64-bit value: the first `bits` bits of its hash."""
-    return (mix(values) >> U64(64 - bits)).astype(np.uint16)
+    return (mix(values) >> U64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)  # the narrow kind sorts faster
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Numbers as bytes, all first bytes before all second ones and so on: what is sorted or small then compresses."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    """Numbers as bytes, all first bytes before all second ones and so on, compressed: what is sorted or small takes little room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return _small(planes)
 
 
 def unpack(packed: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(_whole(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
