@@ -12,13 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.llm.text import row_chunks, text_bytes
+from obsledger.llm.text import text_chunks
 from obsledger.llm.word_ids import kept_encoder
 from obsledger.session import written
 
 WINDOWS = 32  # open windows of a partition
 MERGED = 64  # partitions whose leftovers one task of a round packs again
-CHUNK_BYTES = 1 << 22  # of text encoded at a time
+CHUNK_BYTES = 1 << 20  # of text encoded at a time
 OUT_ROWS = 50_000
 END_ID = np.ones(1, "<u4")
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "part", "place", "ids"]
@@ -120,8 +120,7 @@ def _packed(docs: DataFrame, tokenizer_path: str, capacity: int, windows: int) -
         encoder, part = kept_encoder(tokenizer_path), TaskContext.get().partitionId()
         held = Windows(capacity, windows, part << 36)
         for batch in batches:
-            _, offsets = text_bytes(batch.column(1))
-            for low, high in row_chunks(offsets, CHUNK_BYTES):
+            for low, high in text_chunks(batch.column(1), CHUNK_BYTES):
                 found, bounds = encoder.column(batch.column(1).slice(low, high - low))
                 for row, doc_id in enumerate(batch.column(0).slice(low, high - low).to_pylist()):
                     ids = np.concatenate((found[bounds[row] : bounds[row + 1]], END_ID))

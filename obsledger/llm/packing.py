@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsledger.llm.text import row_chunks, text_bytes
+from obsledger.llm.text import text_chunks
 from obsledger.llm.word_ids import kept_encoder
 from obsledger.session import written
 
 ROWS_PER_BUCKET = 200_000
-CHUNK_BYTES = 1 << 22  # of text encoded at a time
+CHUNK_BYTES = 1 << 20  # of text encoded at a time
 END_ID = np.zeros(1, "<u4")
 
 
@@ -28,8 +28,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFra
         encoder = kept_encoder(tokenizer_path)
         for batch in batches:
             out = []
-            _, offsets = text_bytes(batch.column(1))
-            for low, high in row_chunks(offsets, CHUNK_BYTES):
+            for low, high in text_chunks(batch.column(1), CHUNK_BYTES):
                 found, bounds = encoder.column(batch.column(1).slice(low, high - low))
                 for row, doc_id in enumerate(batch.column(0).slice(low, high - low).to_pylist()):
                     ids = np.concatenate((found[bounds[row] : bounds[row + 1]], END_ID)).tobytes()

@@ -6,10 +6,12 @@ Words are runs of bytes other than space and 0x09-0x0D, with A-Z lower-cased. Ha
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """As `row_chunks`, for a text column that need not be copied for it; null counts as empty."""
+    lengths = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return row_chunks(np.concatenate(([0], np.cumsum(lengths))), size)
+
+
 def row_chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about `size` bytes; a longer row makes a range of its own."""
     start, rows = 0, len(offsets) - 1
@@ -69,9 +77,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def forget() -> None:
+    """Give back what the worker keeps."""
+    if KEPT:
+        KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Running sums from which `span_hashes` takes the hash of any span of bytes."""
-    KEPT.clear()
+    forget()
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + U64(1)) * up[: len(data)], out=sums[1:])

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 from obsledger.llm.text import KEPT
 
-WORDS_KEPT = 300_000  # words in each of a worker's two generations
+WORDS_KEPT = 100_000  # words in each of a worker's two generations
 LONGEST_KEPT = 64  # bytes of a word that is kept
 # ASCII marks at the end of a word; not those that contractions and special tokens have.
 _CLOSING = bytes(c for c in range(33, 127) if chr(c) in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~")
@@ -144,5 +144,6 @@ class WordIds:
 def kept_encoder(path: str) -> WordIds:
     """The worker's encoder, with the words it knows, until a hashing operator needs the memory."""
     if path not in KEPT:
+        pa.default_memory_pool().release_unused()  # what other operators had
         KEPT[path] = WordIds(path)
     return KEPT[path]
