@@ -35,7 +35,7 @@ from obsledger.llm.frequencies import (
     unpacked,
     value_counts,
 )
-from obsledger.llm.text import U64, mix, remainder, row_chunks, text_bytes
+from obsledger.llm.text import U64, remainder, row_chunks, text_bytes
 from obsledger.session import written
 
 ORDER = 6  # bytes of context, 7 at most
@@ -53,19 +53,20 @@ def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray
     """For each byte of each text and its end: row, and the byte behind its `order` bytes of context, as one number."""
     sizes = np.diff(offsets) + order + 1
     begins = np.cumsum(sizes) - sizes
+    ends = begins + sizes - 1
     stream = np.full(int(sizes.sum()), BEFORE, np.uint8)
-    rows = np.repeat(np.arange(len(sizes)), np.diff(offsets))
-    at = np.arange(len(data)) - offsets[:-1][rows] + begins[rows] + order
-    stream[at] = data
-    stream[begins + sizes - 1] = AFTER
-    value = np.zeros(len(stream), np.uint64)
-    wide = stream.astype(np.uint64)
-    for i in range(order + 1):
-        value[i:] |= wide[: len(wide) - i] << U64(8 * i)
     scored = np.ones(len(stream), bool)
     for i in range(order):
         scored[begins + i] = False
-    return np.repeat(np.arange(len(sizes)), np.diff(offsets) + 1), value[scored]
+    scored[ends] = False
+    stream[scored] = data
+    stream[ends] = AFTER
+    scored[ends] = True
+    # eight bytes from any place of the reversed stream are a number whose lowest byte is the last one read
+    back = np.concatenate((stream[::-1], np.zeros(8, np.uint8)))
+    value = np.ndarray(len(stream), "<u8", back, strides=(1,))[::-1][scored]
+    rows = np.repeat(np.arange(len(sizes), dtype=np.uint32), np.diff(offsets) + 1)
+    return rows, value & U64((1 << 8 * (order + 1)) - 1)
 
 
 @dataclass
@@ -245,7 +246,7 @@ def gram_scores(texts: DataFrame, order: int = ORDER) -> DataFrame:
             values, rows = np.concatenate(rare), np.concatenate(owners)
             by_value = np.argsort(values)
             values, rows = values[by_value], rows[by_value]
-            filled, packed = packed_ranges(hash_ranges(values, bits), values, rows.astype(np.uint32))
+            filled, packed = packed_ranges(hash_ranges(values, bits), values, rows)
             more = [None] * len(filled)
             own = [hash_ranges(np.array([block], np.uint64), bits)[0], None, pack(np.concatenate(sums)), None, b"".join(keys)]
             columns = [filled.tolist() + own[:1], [block] * (len(filled) + 1), packed[0] + own[1:2], more + own[2:3], packed[1] + own[3:4], more + own[4:]]
@@ -269,7 +270,7 @@ def gram_scores(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 sums.append(np.bincount(rows, weights=np.repeat(score, times), minlength=end - start))
                 keys.extend(digests[start:end])
                 rare.append(values[left])
-                owners.append(rows[left] + n)
+                owners.append(rows[left] + np.uint32(n))
                 n += end - start
                 size += len(rare[-1])
                 if size >= BLOCK_PLACES:
@@ -315,11 +316,11 @@ def gram_scores(texts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def by_gram(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows and grams with equal grams side by side, and where a run of equal ones begins."""
-    bits = max(1, int(len(values) - 1).bit_length())
-    # by hash, with the place in the low bits; two grams of one hash only make more runs of equal ones
-    packed = np.sort((mix(values) >> U64(bits) << U64(bits)) | np.arange(len(values), dtype=np.uint64))
-    order = (packed & U64((1 << bits) - 1)).astype(np.int64)
+    """Rows and grams in the order of grams, and where a run of equal ones begins.
+
+    In order, since what follows looks grams up in long sorted arrays.
+    """
+    order = np.argsort(values)
     values = values[order]
     return rows[order], values, np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
 

@@ -88,6 +88,26 @@ def test_equals_plain_model(order, least):
     assert np.allclose(text_scores(*packed(test), trie), want)
 
 
+def test_grams_by_hand():
+    parts = [b"", b"ab", "é".encode() * 9, bytes(range(256)), b""]
+    for order in (0, 2, 6, 7):
+        want = []
+        for i, p in enumerate(parts):
+            stream = b"\n" * order + p + b"\xff"
+            want += [(i, int.from_bytes(stream[at - order : at + 1])) for at in range(order, len(stream))]
+        rows, values = grams(*packed(parts), order)
+        assert list(zip(rows.tolist(), values.tolist())) == want
+
+
+def test_lookups_come_in_order():
+    """In any other order, each lookup in a long dictionary leaves the cache."""
+    rows, values = grams(*packed([b"the cat sat on the mat " * 20, b"another text", b"the cat"]), 6)
+    got_rows, got, first = ppm.by_gram(rows, values)
+    assert sorted(zip(got.tolist(), got_rows.tolist())) == sorted(zip(values.tolist(), rows.tolist()))
+    assert (np.diff(got.astype(np.int64)) >= 0).all()
+    assert got[first].tolist() == sorted(set(values.tolist()))
+
+
 def base_rows(rows):
     def held(d):
         return d is not None and zlib.crc32(str(d).encode()) % 5 == 1
