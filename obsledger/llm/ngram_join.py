@@ -16,7 +16,7 @@ from obsledger.session import written
 FREQUENT_DF = 16  # shingles in fewer documents keep their hash order
 FREQUENT_LIMIT = 4_000_000  # of frequent shingles that can exist: one holds at least 1/limit of all occurrences
 RANGE_BYTES = 8 << 20  # of text per hash range when shingles are counted
-BLOCK_SHINGLES = 2_000_000  # that a task gathers before it hands on their counts
+BLOCK_SHINGLES = 1 << 20  # that a task gathers before it hands on their counts
 FILTER_WORDS = 1 << 20  # of 64 bits, in the filter that spares sets nobody asks for
 TOKEN_SHIFT = 24  # counts are kept for the upper 40 bits of a shingle's hash
 
@@ -40,6 +40,28 @@ def _range_bits(total_bytes: int) -> int:
     return min(16, max(4, int(total_bytes // RANGE_BYTES).bit_length()))
 
 
+def _counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 40-bit hashes in order and their counts. Empties `held` and sorts in place: little more than the hashes twice."""
+    tokens = np.concatenate(held)
+    held.clear()
+    tokens >>= U64(TOKEN_SHIFT)
+    tokens.sort()
+    new = np.ones(len(tokens) + 1, bool)
+    np.not_equal(tokens[1:], tokens[:-1], out=new[1:-1])
+    counts = np.diff(np.flatnonzero(new)).astype(np.uint32)
+    return tokens[new[:-1]], counts
+
+
+def _set_views(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a column of hashes as bytes, where they are: no copy, since a batch of them is large."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return []
+    at = (np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 8).tolist()
+    hashes = np.frombuffer(column.buffers()[2], np.uint64, count=at[-1])
+    return [hashes[a:b] for a, b in zip(at, at[1:])]
+
+
 def shingle_frequencies(docs: DataFrame, range_bits: int) -> DataFrame:
     """Rows (token, df) for shingles in `FREQUENT_DF` documents or more, and (-1, n) with n shingles in a hash range.
 
@@ -51,18 +73,17 @@ def shingle_frequencies(docs: DataFrame, range_bits: int) -> DataFrame:
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held) >> U64(TOKEN_SHIFT), return_counts=True)
-            held.clear()
-            ranges = (tokens >> U64(40 - range_bits)).astype(np.int64)
-            cuts = np.searchsorted(ranges, np.arange((1 << range_bits) + 1))
+            tokens, counts = _counted(held)
+            cuts = np.searchsorted(tokens, np.arange((1 << range_bits) + 1, dtype=np.uint64) << U64(40 - range_bits))
             filled = np.flatnonzero(np.diff(cuts))
-            parts = [(tokens[cuts[r] : cuts[r + 1]] & U64((1 << 40 - range_bits) - 1), counts[cuts[r] : cuts[r + 1]]) for r in filled]
-            width = np.uint32 if range_bits >= 8 else np.uint64
+            tokens &= U64((1 << 40 - range_bits) - 1)
+            tokens = tokens.astype(np.uint32 if range_bits >= 8 else np.uint64, copy=False)
+            parts = list(zip(cuts[filled].tolist(), cuts[filled + 1].tolist()))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(filled, pa.int32()),
-                    pa.array([t.astype(width).tobytes() for t, _ in parts], pa.binary()),
-                    pa.array([c.astype(np.uint32).tobytes() for _, c in parts], pa.binary()),
+                    pa.array([tokens[a:b].tobytes() for a, b in parts], pa.binary()),
+                    pa.array([counts[a:b].tobytes() for a, b in parts], pa.binary()),
                 ],
                 ["_range", "tokens", "counts"],
             )
@@ -70,8 +91,10 @@ def shingle_frequencies(docs: DataFrame, range_bits: int) -> DataFrame:
         for batch in batches:
             for _, _, _, hashes in shingle_sets(batch.column(0)):
                 held.append(hashes)
+                del hashes
                 if sum(map(len, held)) >= BLOCK_SHINGLES:
                     yield out()
+            del batch  # or it stays until the next one is there
         if sum(map(len, held)):
             yield out()
 
@@ -162,6 +185,7 @@ def signed_sets(docs: DataFrame, frequent: np.ndarray, df: np.ndarray) -> DataFr
                     ],
                     names,
                 )
+            del batch
 
     return docs.mapInArrow(
         sign, "_row bigint, doc_id bigint, text_key binary, n bigint, sig binary, prefix_sig binary, prefix array<bigint>, bitmap binary, key bigint"
@@ -204,6 +228,7 @@ def _asked_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 at = filled[asked]
                 sets = [hashes[firsts[i] : firsts[i + 1]].tobytes() for i in at]
                 yield pa.RecordBatch.from_arrays([pa.array(key[asked]), pa.array(sets, pa.binary())], ["key", "set"])
+            del batch
 
     found = docs.select("doc_id", "text").mapInArrow(pick, "key bigint, set binary")
     return found.join(nodes.select("node", "key"), "key").dropDuplicates(["node"]).select("node", "set")
@@ -229,8 +254,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(_set_views(batch.column("set_a")), _set_views(batch.column("set_b"))):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

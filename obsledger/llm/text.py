@@ -156,7 +156,7 @@ def shingle_sets(column: pa.Array, width: int = WORDS_PER_SHINGLE) -> Iterator[t
     The hashes of a row are in ascending order; rows are counted from the first one of the range.
     """
     data, offsets = text_bytes(column)
-    for start, end in row_chunks(offsets):
+    for start, end in row_chunks(offsets, CHUNK_BYTES // 2):  # hashes take many times the text's bytes
         part = data[offsets[start] : offsets[end]]
         rows, hashes = word_hashes(part, offsets[start : end + 1] - offsets[start])
         rows, hashes = shingles(rows, hashes, end - start, width)

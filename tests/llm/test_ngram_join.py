@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from obsledger.llm import ngram_join
@@ -75,3 +78,28 @@ def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert sorted((tuple(r) for r in similar_documents(docs).collect()), key=repr) == brute(rows)
+
+
+def test_counting_takes_little_memory():
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 200_000).astype(np.uint64)
+    hashes[::3] = hashes[0]
+    want, times = np.unique(hashes >> np.uint64(ngram_join.TOKEN_SHIFT), return_counts=True)
+    held = [hashes[:150_000].copy(), hashes[150_000:].copy()]
+    tracemalloc.start()
+    tokens, counts = ngram_join._counted(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens.tolist() == want.tolist() and counts.tolist() == times.tolist() and not held
+    assert peak < 3 * hashes.nbytes  # np.unique takes 4 to 5 times
+
+
+def test_sets_are_compared_in_place():
+    sets = [np.arange(i, dtype=np.uint64) for i in (3, 0, 2000, 70_000)]
+    column = pa.array([s.tobytes() for s in sets], pa.binary())
+    tracemalloc.start()
+    got = ngram_join._set_views(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [g.tolist() for g in got] == [s.tolist() for s in sets] and peak < 100_000
+    assert [g.tolist() for g in ngram_join._set_views(column.slice(2))] == [s.tolist() for s in sets[2:]]
+    assert ngram_join._set_views(column.slice(0, 0)) == []
