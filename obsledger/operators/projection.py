@@ -12,6 +12,7 @@ from obsledger.functions import values as V
 from obsledger.functions.paging import limited, page_of
 from obsledger.functions.keys import natural_key
 from obsledger.functions.skew import lookup_join
+from obsledger.session import shuffles_given_back
 
 SOURCE = [
     "sop_instance_uid", "sop_class_uid", "canonical_observation_id", "series_instance_uid", "modality",
@@ -77,10 +78,10 @@ def projection_build(
         F.col("observation_id").alias("canonical_observation_id"), "whole_file_sha256", "pixel_digest"
     )
     rows = (
-        rows.join(canonical, "canonical_observation_id")
-        .join(bindings.select("sop_instance_uid", "project_id", "user_id", "binding_status"), "sop_instance_uid", "left")
+        rows.join(bindings.select("sop_instance_uid", "project_id", "user_id", "binding_status"), "sop_instance_uid", "left")
         .join(duplicates, "sop_instance_uid", "left")
         .join(references, "sop_instance_uid", "left")
+        .join(canonical, "canonical_observation_id")  # last, so that its digests are not shuffled again
         .withColumns(
             {
                 "binding_status": F.coalesce("binding_status", F.lit("unbound")),
@@ -277,9 +278,10 @@ def reindex_run(
     chosen = rebuild_select(instances, stored, scope, force=True)
     rebuilt = fresh.join(chosen, "sop_instance_uid", "left_semi").select(PROJECTION)
     kept = stored.select(PROJECTION).join(rebuilt.select("instance_id"), "instance_id", "left_anti").select(PROJECTION)
-    rebuilt.withColumn("rebuilt", F.lit(True)).unionByName(kept.withColumn("rebuilt", F.lit(False))).write.mode(
-        "overwrite"
-    ).parquet(path)
+    with shuffles_given_back(spark):
+        rebuilt.withColumn("rebuilt", F.lit(True)).unionByName(kept.withColumn("rebuilt", F.lit(False))).write.mode(
+            "overwrite"
+        ).option("compression", "zstd").parquet(path)
     written = spark.read.parquet(path)
     rebuild = written.agg(F.count_if("rebuilt").alias("n")).select(
         F.lit(2).alias("step_no"), F.lit("rebuild_projections").alias("step"), F.lit("success").alias("status"), "n",

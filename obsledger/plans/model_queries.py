@@ -13,7 +13,7 @@ from obsledger.plans import fixtures as X
 from obsledger.plans.canonical_queries import FAMILY_SQL, FLAGGED, RANKED, findings_of
 from obsledger.plans.graph_queries import BINDING, GRAPH, bindings, resolved
 from obsledger.plans.registry import query
-from obsledger.session import run_folder, written
+from obsledger.session import run_folder, staged
 
 # stored read model: one line number missing, one at an old version, one with an old checksum
 MISSING_LINE, OLD_VERSION_LINE, CHANGED_LINE = 7, 3, 5
@@ -61,35 +61,40 @@ STORED_MODEL = {
 }
 
 
-def canonical_instances(spark, sf, obs=None):
+INSTANCE = ["sop_class_uid", "series_instance_uid", "study_instance_uid", "whole_file_sha256"]
+
+
+def canonical_instances(spark, sf, obs=None, columns=INSTANCE):
+    """The first observation of each instance by arrival, with `columns` of it."""
     obs = X.observations(spark, sf) if obs is None else obs
-    columns = ["sop_class_uid", "series_instance_uid", "study_instance_uid", "whole_file_sha256", "observed_at", "observation_id"]
-    first = obs.groupBy("sop_instance_uid").agg(F.min_by(F.struct(*columns), F.struct(*C.ARRIVAL)).alias("r"))
-    return first.select("sop_instance_uid", "r.*").withColumnRenamed("observation_id", "canonical_observation_id")
+    first = obs.groupBy("sop_instance_uid").agg(F.min(F.struct(*C.ARRIVAL, *columns)).alias("r"))
+    return first.select("sop_instance_uid", *[f"r.{c}" for c in columns], "r.observed_at", F.col("r.observation_id").alias("canonical_observation_id"))
 
 
 def projections(spark, sf):
-    """The read model over observations that are written first: a dozen branches read them."""
+    """The read model over observations that are written first, since a dozen branches read them; so is what each branch finds."""
     lines = X.table(spark, sf, "lineitem")
-    obs = written(X.observations(spark, sf, lines), "observations")
+    obs = staged(X.observations(spark, sf, lines), "observations")
+    columns = [c for c in INSTANCE if c != "whole_file_sha256"]
     return P.projection_build(
-        canonical_instances(spark, sf, obs).drop("whole_file_sha256", "observed_at"),
-        C.series_upsert(obs),
-        C.studies_upsert(obs),
+        staged(canonical_instances(spark, sf, obs, columns).drop("observed_at"), "instances"),
+        staged(C.series_upsert(obs), "series"),
+        staged(C.studies_upsert(obs), "studies"),
         obs,
-        B.binding_latest(bindings(spark, sf, obs)),
-        P.duplicate_facts(findings_of(obs), obs),
-        P.reference_facts(resolved(spark, sf, obs)),
+        staged(B.binding_latest(staged(bindings(spark, sf, obs), "bindings")).select("sop_instance_uid", "project_id", "user_id", "binding_status"), "bindings"),
+        staged(P.duplicate_facts(findings_of(obs), obs), "duplicates"),
+        staged(P.reference_facts(resolved(spark, sf, obs)), "references"),
     )
 
 
 def new_model(spark, sf):
     """Read model rows with a plain checksum, for the operators that only compare them."""
     empty = {c: F.lit(None).cast("string") for c in P.PROJECTION}
-    rows = canonical_instances(spark, sf).withColumns(
+    obs = X.observations(spark, sf).withColumn("checksum", F.md5("whole_file_sha256"))
+    rows = canonical_instances(spark, sf, obs, ["series_instance_uid", "study_instance_uid", "checksum"]).withColumns(
         {
             "instance_id": F.md5("sop_instance_uid"),
-            "projection_source_checksum": F.md5("whole_file_sha256"),
+            "projection_source_checksum": F.col("checksum"),
             "projection_version": F.lit(V.PROJECTION_VERSION),
         }
     )
@@ -97,8 +102,13 @@ def new_model(spark, sf):
 
 
 def held_model(spark, sf):
+    return held_of(new_model(spark, sf))
+
+
+def held_of(new):
+    """The read model as it is stored, made from the one that is built."""
     line = F.element_at(F.split("sop_instance_uid", r"\."), 5).cast("int")
-    return new_model(spark, sf).where(line != MISSING_LINE).withColumns(
+    return new.where(line != MISSING_LINE).withColumns(
         {
             "projection_source_checksum": F.when(line == CHANGED_LINE, "old").otherwise(F.col("projection_source_checksum")),
             "projection_version": F.when(line == OLD_VERSION_LINE, "0.9.0").otherwise(F.col("projection_version")),
@@ -129,9 +139,10 @@ SELECT instance_id, study_instance_uid, series_instance_uid, sop_instance_uid, C
 UNION ALL SELECT md5('gone' || instance_id), study_instance_uid, series_instance_uid, sop_instance_uid, 'held', projection_version, projection_source_checksum FROM v_held""", STORED_MODEL)
 def projection_merge(spark, sf):
     """Which side a row comes from shows in a column; the store also holds rows that are not built any more."""
-    held = held_model(spark, sf).withColumn("modality", F.lit("held"))
+    new = staged(new_model(spark, sf), "read-model")
+    held = held_of(new).withColumn("modality", F.lit("held"))
     held = held.unionByName(held.withColumn("instance_id", F.md5(F.concat(F.lit("gone"), "instance_id"))))
-    merged = P.projection_merge(new_model(spark, sf).withColumn("modality", F.lit("fresh")), held)
+    merged = P.projection_merge(new.withColumn("modality", F.lit("fresh")), held)
     return merged.select(
         "instance_id", "study_instance_uid", "series_instance_uid", "sop_instance_uid", "modality", "projection_version", "projection_source_checksum"
     )
@@ -203,7 +214,9 @@ UNION ALL SELECT 2, 'rebuild_projections', 'success', count(*), 'Rebuilt ' || co
 UNION ALL SELECT 3, 'verify', 'success', 0, '0 instances missing projections'""", STORED_MODEL)
 def reindex_run(spark, sf):
     path = run_folder(spark, "reindex_run")
-    return P.reindex_run(canonical_instances(spark, sf), new_model(spark, sf), held_model(spark, sf), path, SCOPE)
+    new = staged(new_model(spark, sf), "read-model")
+    instances = staged(canonical_instances(spark, sf, columns=["study_instance_uid", "series_instance_uid"]), "instances")
+    return P.reindex_run(instances, new, held_of(new), path, SCOPE)
 
 
 @query("reindex_jobs", """
