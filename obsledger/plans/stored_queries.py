@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from obsledger.functions import values as V
 from obsledger.operators import stored as S
+from obsledger.operators.references import EDGE
 from obsledger.plans import canonical_queries, graph_queries, model_queries
 from obsledger.plans.registry import ORACLES, query
-from obsledger.session import run_folder
+from obsledger.session import run_folder, staged
 
 PAGE_AFTER = "3"  # any text is a cursor
 
@@ -21,9 +22,9 @@ def stored_projection_page(spark, sf):
     return S.stored_page(table, 100, PAGE_AFTER, **model_queries.filters()).select("instance_id", "sop_instance_uid", "study_date")
 
 
-def stored_model(spark, sf, buckets: int = 16):
+def stored_model(spark, held, buckets: int = 16):
     """The read model as held, with rows that are not built any more, as a stored table."""
-    held = model_queries.held_model(spark, sf).withColumn("modality", F.lit("held"))
+    held = held.withColumn("modality", F.lit("held"))
     held = held.unionByName(held.withColumn("instance_id", F.md5(F.concat(F.lit("gone"), "instance_id"))))
     return S.open_table(spark, run_folder(spark, "read-model"), "projections", buckets).create(S.with_year(held))
 
@@ -31,7 +32,8 @@ def stored_model(spark, sf, buckets: int = 16):
 @query("stored_projection_merge")
 def stored_projection_merge(spark, sf):
     """The batch is merged twice: the second time changes nothing."""
-    table, fresh = stored_model(spark, sf), model_queries.new_model(spark, sf).withColumn("modality", F.lit("fresh"))
+    new = staged(model_queries.new_model(spark, sf), "read-model")
+    table, fresh = stored_model(spark, model_queries.held_of(new)), new.withColumn("modality", F.lit("fresh"))
     S.merge_projections(table, fresh)
     S.merge_projections(table, fresh)
     return table.read().select(
@@ -51,10 +53,10 @@ def stored_findings_merge(spark, sf):
 
 @query("stored_edges_merge")
 def stored_edges_merge(spark, sf):
-    old = graph_queries.old_resolved(spark, sf)
+    old = staged(graph_queries.old_resolved(spark, sf).select(*EDGE, "status", "resolved_sop"), "edges")
     table = S.open_table(spark, run_folder(spark, "edges"), "edges", 16)
     table.create(S.edges_with_key(old.unionByName(old.withColumn("from_sop", F.concat(F.lit("gone."), "from_sop")))))
-    S.merge_edges(table, graph_queries.resolved(spark, sf).where("relationship = 'waveform'"))
+    S.merge_edges(table, staged(graph_queries.resolved(spark, sf).where("relationship = 'waveform'"), "edges"))
     return table.read()
 
 

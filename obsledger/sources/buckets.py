@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from obsledger.session import shuffles_given_back, staged
+
 BUCKET = "_bucket"
 COMMIT = "version bigint, bucket int, folder string, n bigint, job string, columns string"
 STEPS = 1 << 16  # values of a key's first four hexadecimal digits
@@ -91,7 +93,8 @@ class BucketTable:
             order = [BUCKET, *self.parts, self.key]
             counts = [F.count_if(F.col(BUCKET) == b).alias(f"n{b}") for b in part]
             sorted_rows = mine.repartition(BUCKET, *self.parts).sortWithinPartitions(*order).observe(seen, F.count(F.lit(1)).alias("n"), *counts)
-            sorted_rows.write.partitionBy(BUCKET, *self.parts).parquet(f"{self.path}/data/version={folder}")
+            with shuffles_given_back(self.spark):
+                sorted_rows.write.option("compression", "zstd").partitionBy(BUCKET, *self.parts).parquet(f"{self.path}/data/version={folder}")
             found = seen.get
             if found["n"] != sum(found[f"n{b}"] for b in part):
                 raise ValueError("rows outside the buckets that are replaced")
@@ -117,9 +120,9 @@ class BucketTable:
 
         `changed(stored, batch)` picks the rows of the batch that alter something, and only their buckets
         are rewritten, as `combine(stored, changed)`; both see the stored rows of buckets the batch
-        lies in. A batch that is merged again changes nothing and rewrites nothing.
+        lies in. The rows picked are written once, so that the rewrite does not look for them again. A batch that is merged again changes nothing and rewrites nothing.
         """
-        news = changed(self.read(self.touched(batch)), batch)
+        news = staged(changed(self.read(self.touched(batch)), batch), "changed")
         buckets = self.touched(news)
         if buckets:
             self.replace(combine(self.read(buckets), news.where(self.bucket().isin(buckets))), buckets)
