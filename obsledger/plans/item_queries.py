@@ -13,6 +13,7 @@ from obsledger.plans.canonical_queries import FLAGGED, pixel_findings
 from obsledger.plans.graph_queries import CONFLICT, summaries
 from obsledger.operators.conflicts import conflict_queue
 from obsledger.plans.registry import query
+from obsledger.session import staged
 
 AS_OF = "2024-01-02 06:00:00"
 
@@ -280,9 +281,10 @@ UNION ALL SELECT 'conflict', series_instance_uid, classification FROM v_conflict
 UNION ALL SELECT 'duplicate', finding_id, duplicate_type FROM v_finding WHERE duplicate_type = 'content'""",
 {**JOB_REVIEW, **CONFLICT, **FLAGGED})
 def review_report(spark, sf):
-    return R.review_report(
-        X.jobs(spark, sf), X.items(spark, sf), conflict_queue(summaries(spark, sf)), pixel_findings(spark, sf), as_of()
-    )
+    """Conflicts and findings are written first, one after the other."""
+    conflicts = staged(conflict_queue(summaries(spark, sf)), "conflicts")
+    findings = staged(pixel_findings(spark, sf), "findings")
+    return R.review_report(X.jobs(spark, sf), X.items(spark, sf), conflicts, findings, as_of())
 
 
 # --- reports -----------------------------------------------------------------------------
