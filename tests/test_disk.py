@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from obsledger import session
+from obsledger.functions import paths
 from obsledger.operators import canonical as C
 from obsledger.plans import QUERIES
 from obsledger.sources.buckets import BucketTable
-from obsledger.streaming import ingest
+from obsledger.streaming import ingest, progress
 from tests.conftest import rows
 
 
@@ -107,3 +108,20 @@ def test_first_arrivals_with_equal_days_and_ids(spark):
     day = dt.date(2024, 1, 1)
     obs = spark.createDataFrame([("b", "s", day), ("a", "s", day), ("a", "s", day), (None, "t", day), ("c", "t", day), ("d", None, None)], kind)
     assert rows(C.canonical_pointers(obs)) == sorted([("s", "a", 3), ("t", None, 2), (None, "d", 1)], key=repr)
+
+
+def test_repeated_events_meet_once(spark):
+    at = dt.datetime(2024, 1, 1, 10)
+    made = [(1, "metadata_persistence", at)] * 30 + [(1, "indexing", at + dt.timedelta(minutes=m)) for m in (5, 2) for _ in range(30)]
+    lags = progress.index_lags(spark.createDataFrame(made, "item_id bigint, stage string, ts timestamp"))
+    joined = lags._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1]
+    assert joined.count("Aggregate") == 2  # both sides
+    assert [(r["item_id"], r["lag_seconds"]) for r in lags.collect()] == [(1, 120.0)]
+
+
+def test_paths_that_fit_cost_no_further_step(spark):
+    df = spark.createDataFrame([("a/b/c",), ("a/" + "1.2.840.10008.5.1.4.1.1.2/" * 4 + "x.dcm",), (None,)], "path string")
+    short = paths.path_shorten(df, "path", "/srv/a", 78)
+    plan = short._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN NOT (length(array_join(") >= 5
+    assert [r["short_path"] for r in short.orderBy(F.length("path")).collect()][:2] == [None, "a/b/c"]
